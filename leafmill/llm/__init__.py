@@ -3,17 +3,26 @@
 from __future__ import annotations
 
 from leafmill.llm.bpe import op4_bpe
+from leafmill.llm.decontaminate import OP3_SQL, op3_decontaminate
 from leafmill.llm.langid import op1_langid
+from leafmill.llm.linededup import OP2_SQL, op2_linededup
+from leafmill.llm.sharding import op6_sharding
 from leafmill.llm.toxicity import op5_toxicity
 
 
 def queries():
     return {
         "op1_langid": op1_langid,
+        "op2_linededup": op2_linededup,
+        "op3_decontaminate": op3_decontaminate,
         "op4_bpe": op4_bpe,
         "op5_toxicity": op5_toxicity,
+        "op6_sharding": op6_sharding,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_linededup": OP2_SQL,
+        "op3_decontaminate": OP3_SQL,
+    }
