@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from leafmill.llm.bpe import op4_bpe
 from leafmill.llm.decontaminate import OP3_SQL, op3_decontaminate
+from leafmill.llm.embeddup import op9_embeddup
 from leafmill.llm.langid import op1_langid
 from leafmill.llm.linededup import OP2_SQL, op2_linededup
+from leafmill.llm.minhash import OP10_SQL, op10_minhash
 from leafmill.llm.sharding import op6_sharding
 from leafmill.llm.toxicity import op5_toxicity
 
@@ -18,6 +20,8 @@ def queries():
         "op4_bpe": op4_bpe,
         "op5_toxicity": op5_toxicity,
         "op6_sharding": op6_sharding,
+        "op9_embeddup": op9_embeddup,
+        "op10_minhash": op10_minhash,
     }
 
 
@@ -25,4 +29,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_linededup": OP2_SQL,
         "op3_decontaminate": OP3_SQL,
+        "op10_minhash": OP10_SQL,
     }
