@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows in an Arrow batch: texts of tens of KB then make batches of tens of MB.
-BATCH_ROWS = 1000
+BATCH_ROWS = 400
 
 
 def prepare(spark: SparkSession) -> None:
@@ -26,6 +27,18 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """What runs inside gets Arrow batches of so many rows, for large values."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

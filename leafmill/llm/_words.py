@@ -13,8 +13,8 @@ from functools import cache
 import numpy as np
 
 U = np.uint64
-#: Bytes handled at once; bounds the temporary arrays to about 40 MB.
-CHUNK = 1 << 20
+#: Bytes handled at once; bounds the temporary arrays to about 20 MB.
+CHUNK = 1 << 18
 
 
 def _byte_classes(space: bool) -> np.ndarray:
@@ -41,8 +41,7 @@ _MUL = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_MUL, -1, 1 << 64)
 
 
-@cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _powers_of(n: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
     for base in (_MUL, _INV):
         p = np.full(n, base, np.uint64)
@@ -51,6 +50,16 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+@cache
+def _usual_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers_of(2 * CHUNK)
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the multiplier and of its inverse, at least."""
+    return _usual_powers() if n <= 2 * CHUNK else _powers_of(n)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> U(30))) * U(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> U(27))) * U(0x94D049BB133111EB)
@@ -68,10 +77,9 @@ def _piece(data: np.ndarray, inner: np.ndarray, is_word: np.ndarray):
     first[inner] = m[inner]
     last[inner - 1] = m[inner - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    size = 1 << max(16, int(n).bit_length())
-    powers, inverse = _powers(size)
+    up, inverse = powers(n)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_codes()[data] * powers[:n], out=sums[1:])
+    np.cumsum(_codes()[data] * up[:n], out=sums[1:])
     return starts, ends, mix((sums[ends] - sums[starts]) * inverse[starts])
 
 
