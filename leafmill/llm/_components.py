@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm import _common as C
 
 
+def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """Roots of the graph with edges i-j on n nodes."""
+    root = np.arange(n)
+    while True:
+        low = root.copy()
+        np.minimum.at(low, i, root[j])
+        np.minimum.at(low, j, root[i])
+        low = low[low]
+        if (low == root).all():
+            return root
+        root = low
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of edges (a, b). In each round a node points at the
     neighbour, or itself, of least hash, and edges move to what their ends point at;

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.llm import _common as C
-from leafmill.llm._components import components
+from leafmill.llm._components import components, forest
 
 COSINE, RECALL, BUCKET, BLOCK = 0.9, 0.997, 1024, 2048
 
@@ -60,19 +60,6 @@ def _keys(bits: int, tables: int):
     return run
 
 
-def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
-    """Roots of the graph with edges i-j on n nodes."""
-    root = np.arange(n)
-    while True:
-        low = root.copy()
-        np.minimum.at(low, i, root[j])
-        np.minimum.at(low, j, root[i])
-        low = low[low]
-        if (low == root).all():
-            return root
-        root = low
-
-
 def _compare(cosine: float):
     out = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 

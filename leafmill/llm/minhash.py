@@ -6,8 +6,9 @@ ROWS min-hashes each give PARTS * PARTS tables, keyed by a pair of groups, one o
 each collection: 2 * PARTS * ROWS hashes do the work of PARTS**2 * 2 * ROWS. A
 pair at the threshold shares no key with a chance of about one in a thousand.
 
-Each bucket's classes are first compared with the bucket's least one; classes of
-a bucket that are still in different components then are compared pair by pair.
+Each bucket's classes are first compared with the bucket's least one. Classes of
+buckets that still hold several components are then compared with each other in
+blocks of bounded size, one task for two blocks, which give back links alone.
 A pair is linked if the full sets say so. Components come from contraction.
 
 Null, empty and wordless texts have empty sets, link with nothing and are their
@@ -27,10 +28,14 @@ from pyspark.sql import functions as F
 
 from leafmill.llm import _common as C
 from leafmill.llm import _words as W
-from leafmill.llm._components import components
+from leafmill.llm._components import components, forest
 
 SHINGLE, PERCENT = 5, 85
 ROWS, PARTS = 3, 8
+#: Classes and shingles of a block, where a bucket is compared pair by pair.
+BLOCK_SETS, BLOCK_SHINGLES = 512, 500_000
+#: Rows of an Arrow batch that carry full sets.
+SET_ROWS = 64
 U = np.uint64
 
 
@@ -116,7 +121,85 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, linked) for pairs (a, b) of classes, by their full sets (node, set)."""
     left = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
-    return C.cut(pairs.join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b").mapInArrow(_linked(percent), "a long, b long, linked boolean"))
+    with C.batches_of(pairs.sparkSession, SET_ROWS):
+        return C.cut(pairs.join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b").mapInArrow(_linked(percent), "a long, b long, linked boolean"))
+
+
+def overlaps(sets: list[np.ndarray], p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Intersection sizes of the pairs (p, q) of sets: one by one, or where there are
+    many pairs from products of membership matrices, some columns at a time."""
+    m = len(sets)
+    if len(p) <= 4 * m:
+        return np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(p, q, strict=True)], np.int64)
+    row = np.repeat(np.arange(m), [len(x) for x in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = count > 1
+    number = np.cumsum(common) - 1
+    keep = common[column]
+    row, column = row[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((m, m), np.float32)
+    for lo in range(0, int(common.sum()), 1024):
+        s, e = np.searchsorted(column, [lo, lo + 1024])
+        x = np.zeros((m, 1024), np.float32)
+        x[row[s:e], column[s:e] - lo] = 1
+        both += x @ x.T
+    return both[p, q].astype(np.int64)
+
+
+def _across(percent: int):
+    """Links between classes of two blocks of a bucket of the first collection. A pair
+    counts in the first such bucket it shares, if it shares one of the second too."""
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        i, x, y = (t.column(c)[0].as_py() for c in ("i", "x", "y"))
+        node, root, n, block = (t.column(c).to_numpy() for c in ("node", "root", "n", "block"))
+        sig = np.array(t.column("sig").to_pylist(), np.int64).reshape(len(node), -1)
+        sets = [np.frombuffer(v, np.uint64) for v in t.column("set").to_pylist()]
+        left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
+        ends = []
+        for s in range(0, len(left), 256):
+            rows = left[s : s + 256]
+            small = np.minimum(n[rows][:, None], n[right])
+            ok = (root[rows][:, None] != root[right]) & (100 * small >= percent * np.maximum(n[rows][:, None], n[right]))
+            if x == y:
+                ok &= rows[:, None] < right
+            for k in range(i):
+                ok &= sig[rows, k][:, None] != sig[right, k]
+            second = np.zeros_like(ok)
+            for k in range(PARTS, 2 * PARTS):
+                second |= sig[rows, k][:, None] == sig[right, k]
+            p, q = np.nonzero(ok & second)
+            ends.append((rows[p], right[q]))
+        p, q = (np.concatenate(v) for v in zip(*ends, strict=True))
+        if not len(p):
+            return out.empty_table()
+        both = overlaps(sets, p, q)
+        linked = 100 * both >= percent * (n[p] + n[q] - both)
+        p, q = node[p[linked]], node[q[linked]]
+        if len(p) > len(node):  # a spanning forest says as much
+            names, at = np.unique(np.concatenate([p, q]), return_inverse=True)
+            tree = forest(at[: len(p)], at[len(p) :], len(names))
+            p, q = names, names[tree]
+        return pa.table([pa.array(p), pa.array(q)], schema=out)
+
+    return run
+
+
+def across(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between nodes (node, root, n, sig) of different roots that share a
+    key, whatever the sizes of the buckets: large ones are compared block by block."""
+    halves = nodes.select("node", "n", F.posexplode(F.slice("sig", 1, PARTS)).alias("i", "half"))
+    sizes = halves.groupBy("i", "half").agg(F.count("*").alias("m"), F.sum("n").alias("words")).where("m > 1")
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("words") / BLOCK_SHINGLES)).cast("int")
+    placed = halves.drop("n").join(sizes.select("i", "half", blocks.alias("blocks")), ["i", "half"])
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node", "i"), F.col("blocks").cast("long")).cast("int"))
+    groups = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
+    full = groups.select("i", "half", "x", "y", "block", "node").join(nodes.join(sets, "node"), "node")
+    return full.select("i", "half", "x", "y", "block", "node", "root", "n", "sig", "set").groupBy("i", "half", "x", "y").applyInArrow(_across(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
@@ -143,18 +226,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     wanted = members.select("node").distinct().join(classes.select("node", "rep"), "node").select("node", F.col("rep.doc_id").alias("doc_id"), F.col("rep._key").alias("_key"))
     wanted = wanted.hint("shuffle_hash")
     texts = base.join(wanted, base["doc_id"].eqNullSafe(wanted["doc_id"]) & (base["_key"] == wanted["_key"]))
-    sets = C.cut(texts.select("node", "text").mapInArrow(_sets(shingle), "node long, set binary").dropDuplicates(["node"]))
+    with C.batches_of(docs.sparkSession, SET_ROWS):
+        sets = C.cut(texts.select("node", "text").mapInArrow(_sets(shingle), "node long, set binary").dropDuplicates(["node"]))
     tested = verify(star, sets, percent)
     links = tested.where("linked").select("a", "b")
     roots = components(links)
-    # Buckets that still hold several components: compare across them.
+    # Classes of buckets that still hold several components: compare across them in blocks.
     placed = members.select("key", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    open_ = C.cut(placed.join(mixed, "key"))
-    p, q = open_.alias("p"), open_.alias("q")
-    across = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.node") < F.col("q.node")) & (F.col("p.root") != F.col("q.root")) & close(F.col("p.n"), F.col("q.n")))
-    rest = across.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    more = verify(rest, sets, percent).where("linked").select("a", "b")
+    open_ = C.cut(placed.join(mixed, "key").select("node", "root").distinct())
+    more = C.cut(across(open_.join(classes.select("node", "n", "sig"), "node"), sets, percent))
     if not more.isEmpty():
         roots = components(links.unionByName(more))
     owner = classes.select("node", "s1", "s2", "n", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
