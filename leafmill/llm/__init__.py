@@ -9,6 +9,7 @@ from leafmill.llm.langid import op1_langid
 from leafmill.llm.linededup import OP2_SQL, op2_linededup
 from leafmill.llm.minhash import OP10_SQL, op10_minhash
 from leafmill.llm.sharding import op6_sharding
+from leafmill.llm.suffixdedup import OP7_SQL, op7_suffixdedup
 from leafmill.llm.toxicity import op5_toxicity
 
 
@@ -20,6 +21,7 @@ def queries():
         "op4_bpe": op4_bpe,
         "op5_toxicity": op5_toxicity,
         "op6_sharding": op6_sharding,
+        "op7_suffixdedup": op7_suffixdedup,
         "op9_embeddup": op9_embeddup,
         "op10_minhash": op10_minhash,
     }
@@ -29,5 +31,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_linededup": OP2_SQL,
         "op3_decontaminate": OP3_SQL,
+        "op7_suffixdedup": OP7_SQL,
         "op10_minhash": OP10_SQL,
     }

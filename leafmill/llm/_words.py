@@ -31,9 +31,11 @@ SPACED, ALNUM = _byte_classes(True), _byte_classes(False)
 
 
 @cache
-def _codes() -> np.ndarray:
+def byte_codes(fold: bool = True) -> np.ndarray:
+    """A random odd number for each byte; fold: A-Z count as a-z."""
     codes = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
-    codes[65:91] = codes[97:123]  # A-Z count as a-z
+    if fold:
+        codes[65:91] = codes[97:123]
     return codes
 
 
@@ -79,7 +81,7 @@ def _piece(data: np.ndarray, inner: np.ndarray, is_word: np.ndarray):
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     up, inverse = powers(n)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_codes()[data] * up[:n], out=sums[1:])
+    np.cumsum(byte_codes()[data] * up[:n], out=sums[1:])
     return starts, ends, mix((sums[ends] - sums[starts]) * inverse[starts])
 
 
