@@ -171,6 +171,13 @@ def contaminated() -> Column:
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
 
+def keep_clean(docs: DataFrame, bench: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, that are not contaminated."""
+    bad = find(docs, bench).where(contaminated()).select("doc_id", "_key").hint("shuffle_hash")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), C.text_key().alias("_key"))
+    return rows.join(bad, C.same_doc(rows, bad), "left_anti").select("row.*")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of every document against the whole benchmark."""
     out = find(C.load(spark, sf_dir, "documents"), C.load(spark, sf_dir, "benchmark"))

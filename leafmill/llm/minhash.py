@@ -203,7 +203,7 @@ def across(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, _key, n_shingles, component_id) of every row."""
+    """(doc_id, _key, n_shingles, component_id, group) of every row; group: null for empty sets."""
     C.prepare(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), C.text_key().alias("_key"), "text")
     rows = C.cut(base.mapInArrow(_sketch(shingle), "doc_id long, _key long, n long, s1 long, s2 long, sig array<long>"))
@@ -241,8 +241,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     owner = classes.select("node", "s1", "s2", "n", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     owner = C.cut(owner)
     least = owner.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = owner.join(least, "root").select("s1", "s2", "n", "component_id")
-    return rows.select("doc_id", "_key", "n", "s1", "s2").join(named, ["s1", "s2", "n"], "left").select("doc_id", "_key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    named = owner.join(least, "root").select("s1", "s2", "n", "component_id", F.col("root").alias("group"))
+    every = rows.select("doc_id", "_key", "n", "s1", "s2").join(named, ["s1", "s2", "n"], "left")
+    return every.select("doc_id", "_key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "group")
+
+
+def keep_first(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of docs, all columns, that are the first of their group, one row each;
+    rows with empty sets stay."""
+    found = near_duplicates(docs, percent, shingle)
+    first = found.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(F.struct("doc_id", "_key")).alias("x")).select("x.doc_id", "x._key", F.lit(True).alias("once"))
+    alone = found.where(F.col("group").isNull()).select("doc_id", "_key", F.lit(False).alias("once")).distinct()
+    keep = first.unionByName(alone).hint("shuffle_hash")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), C.text_key().alias("_key"))
+    both = rows.join(keep, C.same_doc(rows, keep)).select("row", rows["doc_id"].alias("_id"), rows["_key"], "once")
+    # Copies of one row, id and all, meet here; a number keeps rows with empty sets apart.
+    mark = F.when(F.col("once"), F.lit(0).cast("long")).otherwise(F.monotonically_increasing_id())
+    return both.withColumn("_mark", mark).dropDuplicates(["_id", "_key", "_mark"]).select("row.*")
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
