@@ -39,7 +39,8 @@ LENGTH, GRAM = 200, 32
 #: Texts are scanned in pieces of so many starts; the low bits of a packed minimum hold the place.
 PIECE, PLACE = 1 << 18, 20
 BATCHES = 2
-GROUP = 1000
+#: Classes of one gram that one task settles together (about 5 MB of text).
+GROUP = 16_384
 #: Bits of the filter that tells which segments travel on; fixed, 2 MB.
 BITS = 1 << 24
 U = np.uint64
