@@ -51,7 +51,7 @@ def strip_thinking(reply: Column) -> Column:
 
 def data_url(content: Column, kind: str = "image/png") -> Column:
     """SNK-09."""
-    return F.concat(F.lit(f"data:{kind};base64,"), F.base64(content))
+    return F.concat(F.lit(f"data:{kind};base64,"), F.replace(F.base64(content), F.lit("\r\n"), F.lit("")))
 
 
 def strip_math_delims(c: Column) -> Column:
