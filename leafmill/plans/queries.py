@@ -13,7 +13,12 @@ from leafmill.functions import flags as V
 from leafmill.functions import text as X
 from leafmill.operators import assembly as A
 from leafmill.operators import blocks as B
+from leafmill.operators import graphs as G
+from leafmill.operators import html as H
+from leafmill.operators import layout as L
 from leafmill.operators import reports as R
+from leafmill.operators import review as V2
+from leafmill.operators import tikz as Z
 from leafmill.schema import JSON_LABELS
 from leafmill.session import ship
 
@@ -386,3 +391,69 @@ def asm06_join_candidates(spark, d):
 @query()
 def asm05_assemble(spark, d):
     return A.assemble(halves(spark, d))
+
+
+@query()
+def htm03_page_markdown(spark, d):
+    return H.html_markdown(table(spark, d, "pages").select("page_id", "html")).select("page_id", "markdown")
+
+
+@query()
+def rdh01_page_blocks(spark, d):
+    """Raw web pages as replies: the page's ad is a layout div, the rest is loose."""
+    pages = table(spark, d, "pages").select(F.col("page_id").alias("doc_id"), F.lit(0).alias("page"), F.col("html").alias("text"))
+    return H.layout_html_blocks(pages).select("doc_id", "block_no", "type", "content")
+
+
+@query(f"""
+WITH {LINES} SELECT doc_id, page, block_no, CASE WHEN trim(content) = '' THEN 'text' WHEN block_no = 0 THEN 'heading' ELSE 'text' END AS type,
+  trim(content) AS content, CAST(block_no * 100 AS DOUBLE) / 1000 AS y0 FROM lines WHERE page < 3
+""")
+def rdj01_layout_blocks(spark, d):
+    """Lines written as layout JSON, one reply a page, and read again."""
+    b = lines(spark, d).where("page < 3")
+    label = F.when((F.col("block_no") == 0) & (F.trim("content") != ""), "Section-header").otherwise("Text")
+    el = F.struct(F.array(F.lit(0), F.col("block_no") * 100, F.lit(1000), F.col("block_no") * 100 + 90).alias("bbox"), label.alias("category"), F.col("content").alias("text"))
+    replies = b.groupBy("doc_id", "page").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("block_no", el.alias("e")))), lambda x: x["e"])).alias("text"))
+    rows = replies.select("doc_id", "page", F.lit(0).alias("attempt"), "text", F.lit(1000).alias("width"), F.lit(1000).alias("height"))
+    return L.layout_blocks(rows).select("doc_id", "page", "block_no", "type", "content", F.get("bbox", F.lit(1)).alias("y0"))
+
+
+@query("""
+SELECT o_orderkey AS graph, o_custkey % 7 || '>' || (o_custkey % 7 + 1) AS edges, CASE WHEN o_orderkey % 3 = 0 THEN 'tikz_undeclared' ELSE '' END AS flags FROM orders
+""")
+def tik01_graphs(spark, d):
+    """Small drawings made from orders: two vertices, the second at times undeclared."""
+    u = F.pmod("o_custkey", F.lit(7)).cast("string")
+    v = (F.pmod("o_custkey", F.lit(7)) + 1).cast("string")
+    node = lambda n: F.concat(F.lit("\\node ("), n, F.lit(") at (0,0) {};"))
+    code = F.concat(node(u), F.when(F.pmod("o_orderkey", F.lit(3)) == 0, "").otherwise(node(v)), F.lit("\\draw[->] ("), u, F.lit(") -- ("), v, F.lit(");"))
+    g = table(spark, d, "orders").select(F.col("o_orderkey").alias("graph"), Z.graph(code).alias("g"))
+    return g.select("graph", F.array_join(G.edge_set(F.col("g.nodes"), F.col("g.edges")), ",").alias("edges"), F.array_join("g.flags", ",").alias("flags"))
+
+
+@query("""
+SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'correct' WHEN 1 THEN 'fixed' WHEN 2 THEN 'unreadable' ELSE 'fixed' END AS verdict,
+  CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN trim(text, ' ' || chr(10) || chr(9) || chr(13)) WHEN 2 THEN NULL ELSE lang END AS proposal FROM documents
+""")
+def rev05_parse_replies(spark, d):
+    k = F.pmod("doc_id", F.lit(4))
+    reply = F.when(k == 0, "**VERDICT:** Correct").when(k == 1, F.concat(F.lit("VERDICT: fixed\n<text>\n"), "text", F.lit("\n</text> bye"))).when(k == 2, "verdict: unreadable").otherwise(F.concat(F.lit("so\n```md\n"), "lang", F.lit("\n```")))
+    return table(spark, d, "documents").select("doc_id", V2.parsed(reply, F.lit("text")).alias("r")).select("doc_id", "r.verdict", "r.proposal")
+
+
+@query(f"""
+WITH {LINES} SELECT doc_id, page, block_no FROM lines
+WHERE type NOT IN ('caption') AND (trim(content) = '' OR type = 'title') AND NOT (trim(content) = '' AND block_no = 1)
+""")
+def rev01_wanted(spark, d):
+    """Titles are reviewed always, others if empty; the second block of a page has no box."""
+    b = lines(spark, d).withColumns({"type": F.when(F.col("type") == "caption", "figure").otherwise(F.col("type")), "flags": F.when(F.trim("content") == "", F.array(F.lit("empty"))).otherwise(F.array().cast("array<string>")), "bbox": F.when(F.col("block_no") != 1, F.array(F.lit(0.0)))})
+    return V2.wanted(b, V2.Policy(types=("title",))).select("doc_id", "page", "block_no")
+
+
+@query()
+def rev10_gate(spark, d):
+    """Each line against itself with its vowels doubled."""
+    b = lines(spark, d).where("type = 'text' AND length(content) < 400").withColumns({"flags": F.array().cast("array<string>"), "proposal": F.regexp_replace("content", "([aeiou]) ", "$1$1 ")})
+    return V2.gated(b).select("doc_id", "page", "block_no", "ok", "why")

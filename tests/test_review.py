@@ -92,3 +92,10 @@ def test_discovery(spark, tmp_path):
     (tmp_path / "sub/loop").symlink_to(tmp_path)
     got = sorted(r["path"].removeprefix(f"{tmp_path}/") for r in files.discover(spark, [str(tmp_path), f"{tmp_path}/sub/../b.pdf"]).collect())
     assert got == ["a.PNG", "b.pdf", "sub/c.pdf"]
+
+
+def test_placeholders(spark):
+    notes = ["7", "N/A", "--", "(nothing to transcribe)", "[blank]", "(page number 7)", "(The image is blank.)", "(no text)", "(This page intentionally left blank)"]
+    texts = ["(If $S$ is empty, there is nothing to prove.)", "Nothing is lost here", "(no text-book)", "x = 7"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(notes + texts)], "i int, t string").orderBy("i")
+    assert [r[0] for r in df.select(V.placeholder(F.col("t"))).collect()] == [True] * len(notes) + [False] * len(texts)
