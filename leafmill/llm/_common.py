@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +47,19 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@cache
+def _own_folder() -> str:
+    """For sessions without a shared folder, as in tests; gone when the process ends."""
+    at = tempfile.mkdtemp(prefix="leafmill-")
+    atexit.register(shutil.rmtree, at, ignore_errors=True)
+    return f"file://{at}"
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = "file://" + os.path.join(tempfile.gettempdir(), "leafmill-scratch")
-    return f"{named.rstrip('/')}/leafmill"
+    """The cluster's shared folder, one part of it for each application, so that an
+    application's tables can be dropped together once it has ended."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    return f"{named.rstrip('/')}/leafmill/{spark.sparkContext.applicationId}"
 
 
 def cut(df: DataFrame) -> DataFrame:
