@@ -107,3 +107,27 @@ def outer_fence(reply: Column) -> Column:
     """RDM-04: one markdown, md or bare fence around a reply off; its end may be missing."""
     opening = r"^\s*```(?:markdown|md)?[ \t]*\n"
     return F.when(reply.rlike(opening), F.regexp_replace(F.regexp_replace(reply, opening, ""), r"\n?```\s*$", "")).otherwise(reply)
+
+
+def rotation_asked(reply: Column) -> Column:
+    """RDM-06: the turn that front matter asks for, else 0."""
+    keys = front_matter(outer_fence(reply))["keys"]
+    turn = F.try_element_at(keys, F.lit("rotation_correction"))
+    invalid = F.lower(F.try_element_at(keys, F.lit("is_rotation_valid"))) == "false"
+    return F.when(invalid & turn.isin("90", "180", "270"), turn.cast("int")).otherwise(0)
+
+
+def dollar_math(reply: Column) -> Column:
+    """RDM-08: inline math in parentheses to dollars."""
+    return F.regexp_replace(reply, r"(?s)\\\(\s*(\S(?:(?!\\\(|\n\s*\n).)*?)\s*\\\)", r"\$$1\$")
+
+
+def crop_box(box: Column, width: Column, height: Column, pad: float = 0.01) -> Column:
+    """REV-04: a padded pixel box, or the whole page where there is none or it is too thin."""
+    px, py = width * pad + 6, height * pad + 6
+    at = lambda i: F.get(box, F.lit(i))
+    low = lambda v: F.greatest(F.lit(0), v.cast("int"))
+    x0, y0 = low(at(0) * width - px), low(at(1) * height - py)
+    x1, y1 = F.least(width, (at(2) * width + px).cast("int")), F.least(height, (at(3) * height + py).cast("int"))
+    whole = F.array(F.lit(0), F.lit(0), width.cast("int"), height.cast("int"))
+    return F.when(box.isNull() | (x1 - x0 < 8) | (y1 - y0 < 8), whole).otherwise(F.array(x0, y0, x1, y1))

@@ -108,3 +108,38 @@ def undeclared(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """JOIN-07: ends of edges that are no node. nodes: graph, id; edges: graph, u, v."""
     ends = edges.select("graph", F.explode(F.array("u", "v")).alias("id")).distinct()
     return ends.join(nodes, ["graph", "id"], "left_anti")
+
+
+def to_read(pages: DataFrame, read: DataFrame, force: bool = False, retry_failed: bool = False) -> DataFrame:
+    """VAL-21, VAL-22: pages (doc_id, page) to read: without a reading, or with a failed one
+    that is to be tried again. read: doc_id, page, failed (null: unreadable)."""
+    if force:
+        return pages
+    done = read.where(~F.coalesce("failed", F.lit(True))) if retry_failed else read
+    return work_left(pages, done.select("doc_id", "page"), ["doc_id", "page"])
+
+
+def to_review(read: DataFrame, review: DataFrame, force: bool = False) -> DataFrame:
+    """VAL-21: pages that are read and, unless forced, not reviewed."""
+    return read if force else work_left(read, review, ["doc_id", "page"])
+
+
+def failed_pages(blocks: DataFrame) -> DataFrame:
+    """VAL-24: pages that failed, by their mark or a block's. blocks: doc_id, page, failed, flags."""
+    bad = F.coalesce("failed", F.lit(False)) | F.array_contains("flags", "page_failed")
+    return blocks.groupBy("doc_id", "page").agg(F.bool_or(bad).alias("failed")).where("failed").drop("failed")
+
+
+def placeholder_pages(failed: DataFrame) -> DataFrame:
+    """RDB-07: a block that stands for each page (doc_id, page, error) that failed."""
+    return failed.select("doc_id", "page", F.lit(0).alias("block_no"), F.lit("other").alias("type"), F.lit("").alias("content"), F.array(F.lit("page_failed")).alias("flags"), F.left("error", F.lit(300)).alias("error"), F.lit(True).alias("failed"))
+
+
+def invalidate(review: DataFrame, reread: DataFrame) -> DataFrame:
+    """STR-03: reviews that stand, once some pages have been read again."""
+    return review.join(reread, ["doc_id", "page"], "left_anti")
+
+
+def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """STR-02: new rows in place of old ones with their keys; doing it twice changes nothing."""
+    return old.join(new.select(*keys), keys, "left_anti").unionByName(new)

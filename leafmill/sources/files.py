@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import glob
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,3 +85,22 @@ def save_pages(rows: DataFrame, path: str, by: list[str]) -> None:
 def save_documents(rows: DataFrame, path: str) -> None:
     """SNK-03: one row a document; the table's commit is the mark of completion."""
     rows.write.mode("overwrite").parquet(path)
+
+
+def split_inputs(given: list[str]) -> list[str]:
+    """SRC-17: words of each input that is no path, patterns replaced by what they match."""
+    out: list[str] = []
+    for item in given:
+        if os.path.exists(item.removeprefix("@")):
+            out.append(item)
+            continue
+        for word in item.split():
+            out += sorted(glob.glob(word)) if re.search(r"[*?\[]", word) and glob.glob(word) else [word]
+    return out
+
+
+def read_profile(spark: SparkSession, path: str) -> dict[str, str]:
+    """SRC-16: KEY=value lines of a small settings file."""
+    line = r"^\s*(?:export\s+)?([A-Z_]+)=[\"']?([^\"'\s#(]*)[\"']?\s*(#.*)?$"
+    rows = spark.read.text(path).where(F.col("value").rlike(line)).select(F.regexp_extract("value", line, 1).alias("k"), F.regexp_extract("value", line, 2).alias("v"))
+    return {r["k"]: r["v"] for r in rows.collect()}
