@@ -8,7 +8,7 @@ from leafmill.llm.embeddup import op9_embeddup
 from leafmill.llm.langid import op1_langid
 from leafmill.llm.linededup import OP2_SQL, op2_linededup
 from leafmill.llm.minhash import OP10_SQL, op10_minhash
-from leafmill.llm.quotes import op8_quotes
+from leafmill.llm.quotes import OP8_SQL, op8_quotes
 from leafmill.llm.sharding import op6_sharding
 from leafmill.llm.suffixdedup import OP7_SQL, op7_suffixdedup
 from leafmill.llm.toxicity import op5_toxicity
@@ -34,5 +34,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_linededup": OP2_SQL,
         "op3_decontaminate": OP3_SQL,
         "op7_suffixdedup": OP7_SQL,
+        "op8_quotes": OP8_SQL,
         "op10_minhash": OP10_SQL,
     }

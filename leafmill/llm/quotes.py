@@ -136,3 +136,46 @@ def build(conversations: DataFrame) -> DataFrame:
 def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All messages, linked and without quotes."""
     return build(C.load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE m AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, coalesce(turn, -1) AS t FROM conversations
+), marks AS (
+  SELECT conv_id, t, generate_subscripts(l, 1) AS pos, unnest(l) AS line FROM (SELECT conv_id, t, string_split(text, chr(10)) AS l FROM m)
+), lines AS (
+  SELECT *, length(regexp_replace(regexp_extract(line, '^[ \t]{0,3}((?:>[ \t]?)+)', 1), '[^>]', '', 'g')) AS level,
+         regexp_replace(line, '^[ \t]{0,3}((?:>[ \t]?)+)', '') AS body FROM marks
+), starts AS (
+  SELECT *, trim(body) = '' AS blank,
+         trim(body) = '' OR coalesce(lag(trim(body) = '') OVER w, true) OR coalesce(lag(level) OVER w <> level, true) AS new
+  FROM lines WINDOW w AS (PARTITION BY conv_id, t ORDER BY pos)
+), runs AS (SELECT *, sum(CAST(new AS INTEGER)) OVER (PARTITION BY conv_id, t ORDER BY pos) AS run FROM starts),
+passages AS (
+  SELECT conv_id, t, min(level) AS level, min(pos) AS first, lower(trim(regexp_replace(string_agg(body, ' ' ORDER BY pos), '\s+', ' ', 'g'))) AS p
+  FROM runs WHERE NOT blank GROUP BY conv_id, t, run
+), own AS (SELECT DISTINCT conv_id, t, p FROM passages WHERE level = 0 AND length(p) >= 12),
+met AS (
+  SELECT q.conv_id, q.t, q.level, q.first, o.conv_id AS to_c, o.t AS to_t,
+    row_number() OVER (PARTITION BY q.conv_id, q.t, q.first ORDER BY o.conv_id <> q.conv_id, o.conv_id, o.t) AS k
+  FROM passages q JOIN own o ON o.p = q.p AND ((o.conv_id = q.conv_id AND o.t < q.t) OR o.conv_id < q.conv_id)
+  WHERE q.level > 0 AND length(q.p) >= 12
+), links AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, t ORDER BY level, first) AS r FROM met WHERE k = 1) WHERE r = 1
+), parents AS (
+  SELECT m.conv_id, m.t, links.to_t IS NOT NULL AS linked,
+    CASE WHEN links.to_t IS NOT NULL THEN links.to_c WHEN lag(m.t) OVER w IS NOT NULL THEN m.conv_id END AS up_c,
+    coalesce(links.to_t, lag(m.t) OVER w) AS up_t
+  FROM m LEFT JOIN links ON links.conv_id = m.conv_id AND links.t = m.t WINDOW w AS (PARTITION BY m.conv_id ORDER BY m.t)
+), threads AS (
+  SELECT conv_id, t, conv_id AS thread_c, t AS thread_t, 0 AS depth FROM parents WHERE up_t IS NULL
+  UNION ALL
+  SELECT p.conv_id, p.t, h.thread_c, h.thread_t, h.depth + 1 FROM threads h JOIN parents p ON p.up_c = h.conv_id AND p.up_t = h.t
+), counts AS (
+  SELECT conv_id, t, count(*) FILTER (level > 0) AS n_quoted, max(level) AS max_level,
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (level = 0), '') AS kept FROM lines GROUP BY conv_id, t
+)
+SELECT m.conv_id, m.turn, m.role, kept AS text, n_quoted, CAST(max_level AS BIGINT) AS max_level, linked,
+       up_c AS parent_conv_id, up_t AS parent_turn, thread_c AS thread_conv_id, thread_t AS thread_turn, CAST(depth AS BIGINT) AS depth
+FROM m JOIN parents USING (conv_id, t) JOIN threads USING (conv_id, t) JOIN counts USING (conv_id, t)
+"""

@@ -271,3 +271,25 @@ def test_operator_results_feed_the_pipeline(spark, tmp_path, corpus):
     bad = brute.decontaminate(left, [(1, dict(corpus)[9].split("\n")[0])])
     want = sorted((i, brute.sha(t.encode())) for i, t in left if not bad[i][4])
     assert sorted((r["doc_id"], r["text_sha256"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == want
+
+
+def test_quotes_agree_with_sql(spark):
+    import duckdb
+    import pandas as pd
+
+    rng = random.Random(11)
+    rows, said = [], []
+    for c in range(30):
+        for t in range(rng.randrange(1, 9)):
+            parts = [f"message {words(rng, 6)}" for _ in range(rng.randrange(1, 4))]
+            for _ in range(rng.randrange(0, 3) if said else 0):
+                parts.insert(rng.randrange(len(parts) + 1), rng.choice(["> ", ">> ", " >", "> > "]) + rng.choice(said))
+            said += [p for p in parts if p[:1] == "m"]
+            rows.append((c, t, rng.choice(["user", "assistant"]), rng.choice(["\n", "\n\n"]).join(parts)))
+    got = quotes.build(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    con = duckdb.connect()
+    con.register("conversations", pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]))
+    want = con.sql(quotes.OP8_SQL)
+    assert got.columns == want.columns
+    a, b = ({(r[0], r[1]): tuple(r) for r in x} for x in (got.collect(), want.fetchall()))
+    assert a == b and sum(r[6] for r in a.values()) > 20
