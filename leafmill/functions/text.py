@@ -131,3 +131,36 @@ def crop_box(box: Column, width: Column, height: Column, pad: float = 0.01) -> C
     x1, y1 = F.least(width, (at(2) * width + px).cast("int")), F.least(height, (at(3) * height + py).cast("int"))
     whole = F.array(F.lit(0), F.lit(0), width.cast("int"), height.cast("int"))
     return F.when(box.isNull() | (x1 - x0 < 8) | (y1 - y0 < 8), whole).otherwise(F.array(x0, y0, x1, y1))
+
+
+def fitted(width: Column, height: Column, most: int = 3072 * 2048, least: int = 1792 * 28, grid: int = 28) -> Column:
+    """RDH-13: (w, h) as multiples of grid, brought into the bounds of the area, rounding half
+    to even; what rounding put above the bound comes off side by side, the one whose loss keeps
+    the shape better first. A size that is not positive stays as it is."""
+    area, shape = width.cast("double") * height, width.cast("double") / F.nullif(height, F.lit(0))
+    scale = F.when(area > most, F.sqrt(most / F.nullif(area, F.lit(0)))).when(area < least, F.sqrt(least / F.nullif(area, F.lit(0)))).otherwise(1.0)
+    blocks = lambda side: F.greatest(F.lit(1), F.bround(side * scale / grid).cast("int"))
+    start = F.struct(blocks(width).alias("w"), blocks(height).alias("h"), shape.alias("shape"))
+    over = F.ceil(start["w"].cast("double") * start["h"] - most / grid**2).cast("int")
+
+    def shrink(a, _):
+        w, h = a["w"], a["h"]
+        high = w.cast("double") * h * grid * grid > most
+        by_w = F.abs((w - 1) / h - a["shape"]) < F.abs(w / F.nullif(h - 1, F.lit(0)) - a["shape"].alias("shape"))
+        wide = F.when(w == 1, False).when(h == 1, True).otherwise(by_w)
+        return F.struct(F.when(high & wide, w - 1).otherwise(w).alias("w"), F.when(high & ~wide & (h > 1), h - 1).otherwise(h).alias("h"), a["shape"].alias("shape"))
+
+    steps = F.when(over > 0, F.sequence(F.lit(1), over)).otherwise(F.array().cast("array<int>"))
+    done = F.aggregate(steps, start, shrink, lambda a: F.struct((a["w"] * grid).alias("w"), (a["h"] * grid).alias("h")))
+    return F.when((width > 0) & (height > 0), done).otherwise(F.struct(width.cast("int").alias("w"), height.cast("int").alias("h")))
+
+
+def sampling(attempt: Column) -> Column:
+    """RDH-12: (temperature, top_p) of a layout-HTML reading: near greedy, then warmer by attempt."""
+    warm = F.least(F.round(attempt * 0.2, 1), F.lit(0.8))
+    return F.struct(F.when(attempt == 0, 0.0).otherwise(warm).alias("temperature"), F.when(attempt == 0, 0.1).otherwise(0.95).alias("top_p"))
+
+
+def reader_tag(name: Column, model: Column) -> Column:
+    """RDB-09: where a block comes from."""
+    return F.concat_ws(":", F.lit("reader"), name, model)

@@ -143,3 +143,33 @@ def invalidate(review: DataFrame, reread: DataFrame) -> DataFrame:
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """STR-02: new rows in place of old ones with their keys; doing it twice changes nothing."""
     return old.join(new.select(*keys), keys, "left_anti").unionByName(new)
+
+
+def still_to_do(pages: DataFrame, read: DataFrame, review: DataFrame) -> DataFrame:
+    """AGG-06: one row, how many pages (doc_id, page) are to be read and to be reviewed."""
+    left = F.count("*").cast("long")
+    return to_read(pages, read).agg(left.alias("to_read")).crossJoin(to_review(read, review).agg(left.alias("to_review")))  # a row each
+
+
+def finished(docs: DataFrame, outputs: DataFrame, missing: DataFrame, read: DataFrame, force_read: bool = False, retry_failed: bool = False) -> DataFrame:
+    """STR-05: documents (doc_id, n_pages; null: no manifest) that stay finished though their
+    work is gone or has lost page images. outputs: doc_id, failed_pages; missing: doc_id, page
+    images that are lost; read: doc_id, page. A forced reading, or failed pages that are to be
+    tried again, start them over; so do lost images when every page still has its reading."""
+    if force_read:
+        return docs.limit(0)
+    made = outputs.where("coalesce(failed_pages, 0) = 0") if retry_failed else outputs
+    lost = missing.select("doc_id", F.lit(True).alias("_lost")).distinct()
+    kept = read.groupBy("doc_id").agg(F.countDistinct("page").alias("_kept"))
+    rows = docs.join(made.select("doc_id").distinct(), "doc_id", "left_semi").join(lost, "doc_id", "left").join(kept, "doc_id", "left")
+    purged = F.col("n_pages").isNull() | (F.coalesce("_lost", F.lit(False)) & (F.coalesce("_kept", F.lit(0)) < F.col("n_pages")))
+    return rows.where(purged).select(docs.columns)
+
+
+def select_documents(found: DataFrame, finished_: DataFrame, failures: DataFrame, order: list[str], shard: int = 0, count: int = 1, retry_failed: bool = False) -> DataFrame:
+    """Documents for one task: the shard's part of what was found, in order, less what is
+    finished or, unless tried again, has failed for good. The shard is taken before anything is
+    left out, so that tasks started at different times share the work in the same way."""
+    mine = shards(found, order, count).where(F.col("shard") == shard).drop("shard")
+    mine = work_left(mine, finished_.select("doc_id"), ["doc_id"])
+    return mine if retry_failed else work_left(mine, failures.select("doc_id"), ["doc_id"])

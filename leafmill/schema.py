@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The closed vocabulary of block types, and those no document text comes from.
@@ -34,3 +36,9 @@ BLOCK = T.StructType(
         T.StructField("meta", META),
     ]
 )
+
+
+def known_type(block_type: Column) -> Column:
+    """VAL-18: the type itself; one outside the vocabulary, or none, ends the query."""
+    said = F.concat(F.lit("unknown block type: "), F.coalesce(block_type, F.lit("null")))
+    return F.when(block_type.isin(*BLOCK_TYPES), block_type).otherwise(F.raise_error(said))

@@ -5,12 +5,14 @@ from __future__ import annotations
 import glob
 import os
 import re
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import document_id
 from leafmill.operators.reports import drop_copies
+from leafmill.session import ship
 
 # Extensions of documents.
 EXTENSIONS = (".pdf", ".png", ".jpg", ".jpeg", ".tif", ".tiff", ".bmp", ".webp")
@@ -87,6 +89,38 @@ def save_documents(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(path)
 
 
+def write_whole(path: str, text: str) -> None:
+    """SNK-01: a file that is there in whole or not at all: written beside its place under a
+    name of its own, then moved there. It gets the rights that a plain new file would."""
+    fd, temp = tempfile.mkstemp(dir=os.path.dirname(path) or ".", prefix=".part-")
+    try:
+        mask = os.umask(0)
+        os.umask(mask)
+        with os.fdopen(fd, "w", encoding="utf-8", newline="") as f:
+            f.write(text)
+        os.chmod(temp, 0o666 & ~mask)
+        os.replace(temp, path)
+    except BaseException:
+        os.unlink(temp)
+        raise
+
+
+def save_files(rows: DataFrame, folder: str) -> None:
+    """SNK-03 as files: rows (doc_id, markdown, report as JSON text) to a folder a document,
+    in a file system that every executor mounts. The Markdown goes last: it marks completion,
+    and a task that is run again writes the same files."""
+    ship(rows.sparkSession)
+
+    def write(part):
+        for r in part:
+            at = os.path.join(folder, str(r["doc_id"]))
+            os.makedirs(at, exist_ok=True)
+            write_whole(os.path.join(at, "report.json"), r["report"] or "{}")
+            write_whole(os.path.join(at, f"{r['doc_id']}.md"), r["markdown"] or "")
+
+    rows.select("doc_id", "markdown", "report").foreachPartition(write)
+
+
 def split_inputs(given: list[str]) -> list[str]:
     """SRC-17: words of each input that is no path, patterns replaced by what they match."""
     out: list[str] = []
