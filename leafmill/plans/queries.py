@@ -20,7 +20,7 @@ from leafmill.operators import reports as R
 from leafmill.operators import review as V2
 from leafmill.operators import tikz as Z
 from leafmill.schema import JSON_LABELS
-from leafmill.session import ship
+from leafmill.session import ship, spread
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -48,7 +48,7 @@ LINES = """lines AS (
 
 
 def lines(spark, d):
-    return B.line_blocks(table(spark, d, "documents"))
+    return B.line_blocks(spread(table(spark, d, "documents").select("doc_id", "text")))
 
 
 @query("""
@@ -211,7 +211,7 @@ WITH t AS (SELECT doc_id, length(text) AS n_chars, list_filter(regexp_split_to_a
 SELECT doc_id, n_chars >= 200 AND len(t) >= 6 AND coalesce(list_bool_or(list_transform(range(1, least(60, len(t) // 6) + 1), lambda p: t[len(t) - 6 * p + 1:len(t) - p] = t[len(t) - 5 * p + 1:len(t)])), false) AS loops FROM t
 """)
 def val03_tail_loops(spark, d):
-    return table(spark, d, "documents").select("doc_id", V.tail_loop(F.col("text")).alias("loops"))
+    return spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", V.tail_loop(F.col("text")).alias("loops"))
 
 
 @query()
@@ -286,7 +286,7 @@ SELECT doc_id, word, count(*) AS n FROM (
 ) GROUP BY doc_id, word
 """)
 def agg02_word_counts(spark, d):
-    return A.word_counts(table(spark, d, "documents").withColumnRenamed("text", "content"))
+    return A.word_counts(spread(table(spark, d, "documents").select("doc_id", F.col("text").alias("content"))))
 
 
 @query("SELECT quality, toxic, count(*) AS n FROM labels GROUP BY quality, toxic")
@@ -456,5 +456,5 @@ def rev01_wanted(spark, d):
 def rev10_gate(spark, d):
     """Each turn of a conversation against itself with its last vowels doubled. The measure is
     quadratic in a block's length, and turns, unlike documents, are of a block's length."""
-    b = table(spark, d, "conversations").select("conv_id", "turn", F.lit("text").alias("type"), F.col("text").alias("content"), F.array().cast("array<string>").alias("flags"), F.regexp_replace("text", "([aeiou]) ", "$1$1 ").alias("proposal"))
+    b = spread(table(spark, d, "conversations").select("conv_id", "turn", "text")).select("conv_id", "turn", F.lit("text").alias("type"), F.col("text").alias("content"), F.array().cast("array<string>").alias("flags"), F.regexp_replace("text", "([aeiou]) ", "$1$1 ").alias("proposal"))
     return V2.gated(b).select("conv_id", "turn", "ok", "why")

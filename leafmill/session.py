@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -14,3 +14,11 @@ def ship(spark: SparkSession) -> SparkSession:
     if root not in have:
         env["PYTHONPATH"] = os.pathsep.join(x for x in [root, *have] if x)
     return spark
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than there are cores (a small table in one row group), dealt out
+    to all cores before costly expressions. A larger scan has splits enough and stays as it is,
+    without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
