@@ -147,8 +147,9 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 def still_to_do(pages: DataFrame, read: DataFrame, review: DataFrame) -> DataFrame:
     """AGG-06: one row, how many pages (doc_id, page) are to be read and to be reviewed."""
-    left = F.count("*").cast("long")
-    return to_read(pages, read).agg(left.alias("to_read")).crossJoin(to_review(read, review).agg(left.alias("to_review")))  # a row each
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    every = to_read(pages, read).select(one.alias("r"), none.alias("v")).unionByName(to_review(read, review).select(none.alias("r"), one.alias("v")))
+    return every.agg(F.coalesce(F.sum("r"), none).alias("to_read"), F.coalesce(F.sum("v"), none).alias("to_review"))
 
 
 def finished(docs: DataFrame, outputs: DataFrame, missing: DataFrame, read: DataFrame, force_read: bool = False, retry_failed: bool = False) -> DataFrame:
@@ -157,7 +158,7 @@ def finished(docs: DataFrame, outputs: DataFrame, missing: DataFrame, read: Data
     images that are lost; read: doc_id, page. A forced reading, or failed pages that are to be
     tried again, start them over; so do lost images when every page still has its reading."""
     if force_read:
-        return docs.limit(0)
+        return docs.where(F.lit(False))
     made = outputs.where("coalesce(failed_pages, 0) = 0") if retry_failed else outputs
     lost = missing.select("doc_id", F.lit(True).alias("_lost")).distinct()
     kept = read.groupBy("doc_id").agg(F.countDistinct("page").alias("_kept"))
