@@ -20,16 +20,18 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.llm import _common as C
 
 #: Bound of the labelled sample, by label (in expectation), and of the lexicon.
-SAMPLE_TOXIC, SAMPLE_CLEAN, LEXICON_SIZE = 5000, 15000, 512
-#: A lexicon word is in so many toxic sample texts at least, as a share and a count,
-#: and that many times likelier there (natural logarithm).
-LEAST_SHARE, LEAST_COUNT, LEAST_ODDS = 0.02, 4, 3.0
+SAMPLE_TOXIC, SAMPLE_CLEAN, LEXICON_SIZE = 5000, 15000, 4096
+#: A lexicon word is in so many toxic sample texts at least, and that many times
+#: likelier there (natural logarithm). Counts, not shares: a small language has words too.
+LEAST_COUNT, LEAST_ODDS = 4, 3.0
+#: Of the lexicon's words, at most so many in expectation are there by chance.
+FALSE_SHARE = 0.1
 #: Harmless uses of words that a lexicon may hold.
 EXCEPTIONS = ("clown fish", "circus clown", "trash can", "trash bin", "sore loser", "pond scum")
 
@@ -153,6 +155,15 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
+def chance(share: float) -> Column:
+    """Binomial tail: how likely a word of n_toxic + n_clean texts has n_toxic toxic ones
+    or more if it is as toxic as all texts, of which share are."""
+    n = (F.col("n_toxic") + F.col("n_clean")).cast("double")
+    start = F.struct(F.pow(F.lit(share), n).alias("term"), F.lit(0.0).alias("sum"))
+    step = lambda x, k: F.struct((x["term"] * (n - k) / (k + 1) * (1 - share) / share).alias("term"), (x["sum"] + x["term"]).alias("sum"))
+    return F.aggregate(F.sequence(F.lit(0).cast("long"), "n_clean"), start, step, lambda x: x["sum"])
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Lexicon:
     """Lexicon and coefficients from the labelled rows given."""
     sample = C.cut(labelled_sample(docs, labels))
@@ -160,15 +171,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Lexicon:
     if not sizes.get(0) or not sizes.get(1):
         return Lexicon({}, (-60.0, 0.0, 0.0))
     counts = sample.mapInArrow(_count_words, "word string, n_clean long, n_toxic long").groupBy("word").agg(F.sum("n_clean").alias("n_clean"), F.sum("n_toxic").alias("n_toxic"))
+    tested = C.cut(counts.where((F.col("n_toxic") + F.col("n_clean") >= LEAST_COUNT) & (F.length("word") >= 3)))
     odds = F.log((F.col("n_toxic") + 0.5) / (sizes[1] + 1)) - F.log((F.col("n_clean") + 0.5) / (sizes[0] + 1))
     top = (
-        counts.where((F.col("n_toxic") >= max(LEAST_COUNT, LEAST_SHARE * sizes[1])) & (F.length("word") >= 3))
-        .select("word", odds.alias("weight"))
-        .where(F.col("weight") >= LEAST_ODDS)
-        .orderBy(F.desc("weight"), "word")
+        tested.withColumn("weight", odds)
+        .where((F.col("n_toxic") >= LEAST_COUNT) & (F.col("weight") >= LEAST_ODDS))
+        .select("word", "weight", chance(sizes[1] / (sizes[0] + sizes[1])).alias("chance"))
+        .orderBy("chance", F.desc("weight"), "word")
         .limit(LEXICON_SIZE)
+        .collect()
     )
-    lexicon = Lexicon({r["word"]: r["weight"] for r in top.collect()})
+    n = tested.count()
+    held = max((i for i, r in enumerate(top, 1) if r["chance"] * n <= FALSE_SHARE * i), default=0)  # Benjamini-Hochberg
+    lexicon = Lexicon({r["word"]: r["weight"] for r in top[:held]})
     x = featured(sample, lexicon, "toxic int").select("toxic", "x0", "x1").collect()
     lexicon.coefficients = logistic(np.array([[r["x0"], r["x1"]] for r in x]), np.array([r["toxic"] for r in x], float))
     return lexicon

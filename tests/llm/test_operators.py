@@ -224,6 +224,19 @@ def test_toxicity(spark, none):
     assert toxicity.score(frame(spark, rows[:3]), blank).where("score > 0.5").count() == 0
 
 
+def test_toxic_words_of_a_small_language(spark):
+    """A word in 8 of 600 toxic texts and no clean one counts; one in 4, as chance has it, doesn't."""
+    rng = random.Random(7)
+    rows, labels = [], []
+    for i in range(2400):
+        bad = i < 600
+        rows.append((i, f"{words(rng, 30)} {'' if not bad else 'bocoes' if i < 8 else 'idiot'} {'maybe' if 100 <= i < 104 else ''}"))
+        labels.append((i, int(bad)))
+    lexicon = toxicity.fit(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert set(lexicon.weights) == {"bocoes", "idiot"}
+    assert toxicity.score(frame(spark, [(1, "w1 bocoes w2")]), lexicon).where("score >= 0.5").count() == 1
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "user", "How do I bake bread at home?\n\nAlso, which flour is the best one?"),
