@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from leafmill.llm import _common as C
 from leafmill.llm import bpe, decontaminate, linededup, minhash, toxicity
 
+#: Texts whose word shingles are so similar are near duplicates here; operator 10 has a contract of its own.
+NEAR_PERCENT = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     lexicon = toxicity.fit(docs, toxicity.training_rows(C.load(spark, sf_dir, "labels")))
@@ -26,7 +29,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.keep_first(docs)
+    return minhash.keep_first(docs, percent=NEAR_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -286,6 +286,23 @@ def test_operator_results_feed_the_pipeline(spark, tmp_path, corpus):
     assert sorted((r["doc_id"], r["text_sha256"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == want
 
 
+def test_pipeline_drops_near_duplicates_at_80_percent(spark):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    rows = []
+    for i in range(0, 20, 2):  # pairs of similarity 176 / 216
+        t = words(rng, 200, 100_000).split()
+        rows.append((i, " ".join(t)))
+        for k in (20, 70, 120, 170):
+            t[k] = f"edit{k}"
+        rows.append((i + 1, " ".join(t)))
+    want = brute.near_duplicates(rows, 80)
+    assert sum(w[2] for w in want.values()) == 10 and all(w[2] for w in brute.near_duplicates(rows, 85).values())
+    kept = corpus_pipeline.drop_near_duplicates(spark, frame(spark, rows), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [d for d, w in want.items() if w[2]]
+
+
 def test_quotes_agree_with_sql(spark):
     import duckdb
     import pandas as pd
