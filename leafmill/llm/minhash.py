@@ -160,6 +160,8 @@ def _across(percent: int):
         sig = np.array(t.column("sig").to_pylist(), np.int64).reshape(len(node), -1)
         sets = [np.frombuffer(v, np.uint64) for v in t.column("set").to_pylist()]
         left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
+        if not len(left) or not len(right):  # few long sets don't fill all their blocks
+            return out.empty_table()
         ends = []
         for s in range(0, len(left), 256):
             rows = left[s : s + 256]

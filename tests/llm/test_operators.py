@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,6 +140,28 @@ def test_unlinked_lookalikes_stay_apart(spark):
     assert got == {d: w[1] for d, w in brute.near_duplicates(rows).items()}
 
 
+def test_long_sets_leave_blocks_empty(spark, monkeypatch):
+    """Sets of more shingles than a block holds: more blocks than sets, most of them empty."""
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 100)
+    rng = random.Random(13)
+    base = words(rng, 200, 10_000).split()
+    rows = []
+    for i in range(12):
+        t = list(base)
+        for k in range(2 + i % 3):
+            t[rng.randrange(200)] = f"e{i}x{k}"
+        rows.append((i, " ".join(t)))
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {d: w[1] for d, w in brute.near_duplicates(rows).items()} and len(set(got.values())) > 1
+
+
+def test_block_without_rows_has_no_links():
+    sets, sig = [np.arange(3, dtype=np.uint64).tobytes()], [[0] * 2 * minhash.PARTS]
+    for block in (0, 1):
+        t = pa.table({"i": [0], "x": [0], "y": [1], "node": [7], "root": [7], "n": [3], "block": [block], "sig": sig, "set": sets})
+        assert minhash._across(85)(t).num_rows == 0
+
+
 def test_overlaps_agree():
     rng = np.random.default_rng(0)
     sets = [np.unique(rng.integers(0, 300, 120).astype(np.uint64)) for _ in range(30)]
