@@ -109,17 +109,17 @@ def word_groups(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> I
         row = end
 
 
-_STEP = [pow(0xD6E8FEB86659FD93 | 1, j + 1, 1 << 64) for j in range(32)]
+_STEPS = [[pow(base | 1, j + 1, 1 << 64) for j in range(32)] for base in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
-def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each k consecutive words."""
+def gram_hashes(words: np.ndarray, k: int, family: int = 0) -> np.ndarray:
+    """Hash of each k consecutive words; the families are independent of each other."""
     n = len(words) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     h = np.zeros(n, np.uint64)
     for j in range(k):
-        h += words[j : j + n] * U(_STEP[j])
+        h += words[j : j + n] * U(_STEPS[family][j])
     return mix(h + U(k))
 
 

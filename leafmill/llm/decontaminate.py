@@ -2,15 +2,21 @@
 
 Of every 7 consecutive 7-word grams of a text the one of least hash is kept, so
 any shared run of 13 words leaves the same fingerprint on both sides. Documents'
-fingerprints pass a Bloom filter of fixed size made of the benchmark's, join the
-benchmark's by hash, and each hit is extended left and right over the words
-around it, which travel with the fingerprint as hashes: a run of 13 equal words
-or more is an occurrence of the windows in it. Items of fewer than 13 words are
-one gram of their own length, which every document position is compared with.
+fingerprints pass a Bloom filter of fixed size made of the benchmark's; those left
+are extended to each of the (at most 7) runs of 13 words around them, known by a
+second hash, and join the benchmark's so extended. A common gram alone joins
+nothing, so a row that comes out of the join is an occurrence of a window. Items of
+fewer than 13 words are one gram of their own length, which every document position
+is compared with. Documents with equal sets of hit windows form one class, and the
+items of a set are looked up once for the class: a passage that M documents and K
+items hold makes M + K rows, not M times K.
 
 Null or wordless texts have no words and are clean; null item ids count as the
-empty text; items without words have no window. Repeated rows get the same
-result each. Extra columns pass through `keep_clean`.
+empty text; items without words have no window. An empty benchmark hits nothing, an
+empty table of documents gives no rows. Very long texts are hashed piece by piece and
+judged whole. Repeated rows get the same result each, and so do equal texts (there
+are no ties to break: every fingerprint that equals a minimum is kept). Extra columns
+pass through `keep_clean`.
 """
 
 from __future__ import annotations
@@ -28,12 +34,13 @@ from leafmill.llm import _words as W
 WINDOW, GRAM = 13, 7
 #: Grams of a winnowing window: its words are GRAM + SLIDE - 1 = WINDOW.
 SLIDE = WINDOW - GRAM + 1
-SIDE = WINDOW - GRAM
-AROUND = GRAM + 2 * SIDE
 #: Bits of the Bloom filter, whatever the benchmark's size (1 MB).
 BITS = 1 << 23
-_FPS = "array<struct<h:bigint,span:int,pos:int,ctx:binary>>"
-_FP = pa.list_(pa.struct([("h", pa.int64()), ("span", pa.int32()), ("pos", pa.int32()), ("ctx", pa.binary())]))
+#: An item leaks through a document that holds so much of its windows, however long the
+#: document is; shorter items, which may occur by chance, only count by the document's share.
+LEAK_SHARE, LEAK_WORDS = 0.5, 8
+_PRINTS = "array<struct<h:bigint,span:int,start:int,w:bigint>>"
+_PRINT = pa.list_(pa.struct([("h", pa.int64()), ("span", pa.int32()), ("start", pa.int32()), ("w", pa.int64())]))
 
 
 def winnow(grams: np.ndarray) -> np.ndarray:
@@ -54,42 +61,43 @@ def _bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h & np.uint64(BITS - 1), (h >> np.uint64(32)) & np.uint64(BITS - 1)
 
 
-def prints(words: np.ndarray, edges: np.ndarray, lengths: list[int], bloom: np.ndarray | None, pad: int, whole: bool):
-    """Fingerprints of the texts that lie one after another in words; edges: where each
-    begins, and the end. whole: only grams as long as their text count as short ones.
-    Yields span (0, or a short gram's length), hashes, word positions, text numbers, contexts."""
+def prints(words: np.ndarray, edges: np.ndarray, lengths: list[int], bloom: np.ndarray | None, whole: bool):
+    """Fingerprints of the texts that lie one after another in words, with the windows
+    around them; edges: where each text begins, and the end. whole: only grams as long as
+    their text count as short ones. Yields span (0, or a short gram's length), hashes,
+    first words of the windows in their texts, text numbers, hashes of the windows."""
     for span in [0, *lengths]:
-        k = span or GRAM
+        k, size = span or GRAM, span or WINDOW
         g = W.gram_hashes(words, k)
         at = np.arange(len(g)) if span else winnow(g)
         if bloom is not None and len(at):
             a, b = _bits(g[at])
             at = at[bloom[a >> np.uint64(3)] >> (a & np.uint64(7)).astype(np.uint8) & 1 & (bloom[b >> np.uint64(3)] >> (b & np.uint64(7)).astype(np.uint8)) == 1]
         text = np.searchsorted(edges, at, side="right") - 1
+        ok = at + k <= edges[text + 1]
+        at, text = at[ok], text[ok]
+        start = (at[:, None] - np.arange(size - k + 1)).ravel()
+        at, text = np.repeat(at, size - k + 1), np.repeat(text, size - k + 1)
         lo, hi = edges[text], edges[text + 1]
-        ok = at + k <= hi
-        if whole:
-            ok &= (hi - lo == span) if span else (hi - lo >= WINDOW)
-        at, text, lo, hi = at[ok], text[ok], lo[ok], hi[ok]
-        reach = np.arange(span) if span else np.arange(-SIDE, GRAM + SIDE)
-        where = at[:, None] + reach
-        inside = (where >= lo[:, None]) & (where < hi[:, None])
-        ctx = np.where(inside, words[np.clip(where, 0, max(len(words) - 1, 0))] if len(words) else 0, np.uint64(pad)).astype(np.uint64)
-        yield span, g[at], at - lo, text, ctx
+        ok = (start >= lo) & (start + size <= hi)
+        if whole and span:
+            ok &= hi - lo == span
+        start, at, text = start[ok], at[ok], text[ok]
+        yield span, g[at], start - edges[text], text, W.gram_hashes(words, size, 1)[start] if len(start) else g[at]
 
 
 def _doc_prints(lengths: list[int], bloom: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, off = C.raw_bytes(b.column("text"))
-            n_words, fps = np.zeros(b.num_rows, np.int64), [[] for _ in range(b.num_rows)]
+            n_words, found = np.zeros(b.num_rows, np.int64), [[] for _ in range(b.num_rows)]
             for lo, hi, counts, words in W.word_groups(data, off, W.ALNUM):
                 n_words[lo:hi] = counts
                 edges = np.concatenate([[0], np.cumsum(counts)])
-                for span, h, pos, text, ctx in prints(words, edges, lengths, bloom, 0, False):
-                    for hh, p, t, c in zip(h.view(np.int64).tolist(), pos.tolist(), text.tolist(), ctx, strict=True):
-                        fps[lo + t].append({"h": hh, "span": span, "pos": p, "ctx": c.tobytes()})
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("_key"), pa.array(n_words), pa.array(fps, _FP)], names=["doc_id", "_key", "n_words", "fps"])
+                for span, h, start, text, w in prints(words, edges, lengths, bloom, False):
+                    for hh, s, t, ww in zip(h.view(np.int64).tolist(), start.tolist(), text.tolist(), w.view(np.int64).tolist(), strict=True):
+                        found[lo + t].append({"h": hh, "span": span, "start": s, "w": ww})
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("_key"), pa.array(n_words), pa.array(found, _PRINT)], names=["doc_id", "_key", "n_words", "prints"])
 
     return run
 
@@ -97,45 +105,28 @@ def _doc_prints(lengths: list[int], bloom: np.ndarray):
 def _item_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         data, off = C.raw_bytes(b.column("text"))
-        out = [[], [], [], []]
+        out = [[], [], [], [], []]
+        ids = b.column("item").to_pylist()
         for lo, _, counts, words in W.word_groups(data, off, W.ALNUM):
             edges = np.concatenate([[0], np.cumsum(counts)])
-            ids = b.column("item").to_pylist()
             for i in range(len(counts)):  # each item by itself
                 own = words[edges[i] : edges[i + 1]]
                 short = [len(own)] if 0 < len(own) < WINDOW else []
-                for span, h, _, _, ctx in prints(own, np.array([0, len(own)]), short, None, 1, True):
-                    for hh, c in zip(h.view(np.int64).tolist(), ctx, strict=True):
-                        for col, x in zip(out, (ids[lo + i], hh, span, c.tobytes()), strict=True):
+                for span, h, _, _, w in prints(own, np.array([0, len(own)]), short, None, True):
+                    for hh, ww in zip(h.view(np.int64).tolist(), w.view(np.int64).tolist(), strict=True):
+                        for col, x in zip(out, (ids[lo + i], len(own), hh, span, ww), strict=True):
                             col.append(x)
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.string(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["item", "h", "span", "item_ctx"])
-
-
-def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of equal fingerprints to the runs of equal words around them, if long enough."""
-    for b in batches:
-        span, pos = b.column("span").to_numpy(), b.column("pos").to_numpy().astype(np.int64)
-        start, stop, ok = pos.copy(), pos + span, np.zeros(len(pos), bool)
-        ctx, item = b.column("ctx").to_pylist(), b.column("item_ctx").to_pylist()
-        long = np.flatnonzero(span == 0)
-        if len(long):
-            a, c = (np.frombuffer(b"".join(x[i] for i in long), np.uint64).reshape(-1, AROUND) for x in (ctx, item))
-            same = a == c
-            right = np.minimum.accumulate(same[:, SIDE:], axis=1).sum(axis=1)
-            left = np.minimum.accumulate(same[:, :SIDE][:, ::-1], axis=1).sum(axis=1)
-            ok[long] = (right >= GRAM) & (left + right >= WINDOW)
-            start[long], stop[long] = pos[long] - left, pos[long] + right
-        for i in np.flatnonzero(span):
-            ok[i] = ctx[i] == item[i]
-        t = pa.table([b.column("doc_id"), b.column("_key"), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), b.column("cid")], names=["doc_id", "_key", "start", "stop", "cid"]).filter(pa.array(ok))
-        yield from t.to_batches()
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=["item", "size", "h", "span", "w"])
 
 
 def find(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """(doc_id, _key, n_words, n_hit, items) of every document; items: sorted ids as strings."""
+    """(doc_id, _key, n_words, n_hit, items, leak) of every document; items: sorted ids as
+    strings; leak: the greatest share of its windows that an item of LEAK_WORDS words or
+    more has in the document."""
     spark = docs.sparkSession
     items = bench.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text").distinct()
-    marks = C.cut(items.mapInArrow(_item_prints, "item string, h long, span int, item_ctx binary").withColumn("cid", F.xxhash64("h", "span", "item_ctx")))
+    marks = C.cut(items.mapInArrow(_item_prints, "item string, size long, h long, span int, w long"))
     lengths = sorted(r["span"] for r in marks.where(F.col("span") > 0).select("span").distinct().collect())  # below WINDOW
     places = marks.selectExpr(f"explode(array(h & {BITS - 1}L, shiftrightunsigned(h, 32) & {BITS - 1}L)) AS p")
     bytes_ = places.groupBy(F.expr("p >> 3").alias("at")).agg(F.expr("bit_or(shiftleft(1, cast(p & 7 AS int)))").alias("v"))
@@ -148,32 +139,47 @@ def find(docs: DataFrame, bench: DataFrame) -> DataFrame:
         yield from _doc_prints(lengths, sent.value)(batches)
 
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), C.text_key().alias("_key"), "text")
-    read = C.cut(base.mapInArrow(doc_prints, f"doc_id long, _key long, n_words long, fps {_FPS}"))
-    found = read.where(F.size("fps") > 0).select("doc_id", "_key", F.inline("fps")).distinct()
-    contexts = marks.select("h", "span", "item_ctx", "cid").distinct()
-    runs = found.join(contexts, ["h", "span"]).select("doc_id", "_key", "span", "pos", "ctx", "item_ctx", "cid").mapInArrow(_extend, "doc_id long, _key long, start int, stop int, cid long")
-    runs = C.cut(runs.distinct())
-    x = F.sort_array(F.collect_set(F.struct("start", "stop")))
+    read = C.cut(base.mapInArrow(doc_prints, f"doc_id long, _key long, n_words long, prints {_PRINTS}"))
+    found = read.where(F.size("prints") > 0).select("doc_id", "_key", F.inline("prints"))
+    hits = found.join(marks.select("h", "span", "w").distinct(), ["h", "span", "w"]).select("doc_id", "_key", "start", "span", "w").distinct()
+    size = lambda s: F.when(s["span"] > 0, s["span"]).otherwise(WINDOW)
     covered = F.aggregate(
-        x,
+        F.array_sort("spots"),
         F.struct(F.lit(0).alias("n"), F.lit(0).alias("e")),
-        lambda a, s: F.struct((a["n"] + F.greatest(F.lit(0), s["stop"] - F.greatest(a["e"], s["start"]))).alias("n"), F.greatest(a["e"], s["stop"]).alias("e")),
+        lambda a, s: F.struct((a["n"] + F.greatest(F.lit(0), s["start"] + size(s) - F.greatest(a["e"], s["start"]))).alias("n"), F.greatest(a["e"], s["start"] + size(s)).alias("e")),
         lambda a: a["n"].cast("long"),
     )
-    spans = runs.groupBy("doc_id", "_key").agg(covered.alias("n_hit"))
-    named = runs.select("doc_id", "_key", "cid").distinct().join(marks.select("cid", "item").distinct(), "cid").groupBy("doc_id", "_key").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    result = spans.join(named, spans["doc_id"].eqNullSafe(named["doc_id"]) & (spans["_key"] == named["_key"])).select(spans["doc_id"], spans["_key"], "n_hit", "items")
+    windows = F.array_sort(F.array_distinct(F.transform("spots", lambda s: F.struct(s["span"].alias("span"), s["w"].alias("w")))))
+    spans = hits.groupBy("doc_id", "_key").agg(F.collect_list(F.struct("start", "span", "w")).alias("spots")).select("doc_id", "_key", covered.alias("n_hit"), windows.alias("windows"))
+    spans = C.cut(spans.withColumns({"s1": F.xxhash64("windows"), "s2": F.xxhash64(F.lit("second"), "windows")}))
+    sets = spans.groupBy("s1", "s2").agg(F.any_value("windows").alias("windows")).select("s1", "s2", F.inline("windows"))
+    of_items = marks.groupBy("item").agg(F.max("size").alias("size"), F.count_distinct("span", "w").alias("total"))
+    held = sets.join(marks.select("span", "w", "item").distinct(), ["span", "w"]).groupBy("s1", "s2", "item").agg(F.count("*").alias("held")).join(of_items, "item")
+    leak = F.max(F.when(F.col("size") >= LEAK_WORDS, F.col("held") / F.col("total")).otherwise(0.0))
+    named = held.groupBy("s1", "s2").agg(F.array_sort(F.collect_list("item")).alias("items"), leak.alias("leak"))
+    result = spans.select("doc_id", "_key", "n_hit", "s1", "s2").join(named, ["s1", "s2"])
     own = read.select("doc_id", "_key", "n_words")
-    return own.join(result, C.same_doc(own, result), "left").select(own["doc_id"], own["_key"], "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return own.join(result, C.same_doc(own, result), "left").select(
+        own["doc_id"], own["_key"], "n_words",
+        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce("leak", F.lit(0.0)).alias("leak"),
+    )
 
 
 def contaminated() -> Column:
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
 
-def keep_clean(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, that are not contaminated."""
-    bad = find(docs, bench).where(contaminated()).select("doc_id", "_key").hint("shuffle_hash")
+def leaked() -> Column:
+    """Contaminated, or LEAK_SHARE of an item's windows stand in the document."""
+    return contaminated() | (F.col("leak") >= LEAK_SHARE)
+
+
+def keep_clean(docs: DataFrame, bench: DataFrame, drop: Column | None = None) -> DataFrame:
+    """The rows of docs, all columns, that are not contaminated, or that don't meet `drop`,
+    a condition on the columns of `find`."""
+    bad = find(docs, bench).where(contaminated() if drop is None else drop).select("doc_id", "_key").distinct().hint("shuffle_hash")
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), C.text_key().alias("_key"))
     return rows.join(bad, C.same_doc(rows, bad), "left_anti").select("row.*")
 

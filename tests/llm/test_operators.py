@@ -90,6 +90,37 @@ def test_decontamination(spark, docs, corpus, none):
     assert decontaminate.find(docs, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_an_item_in_a_long_document_leaks(spark):
+    """An item of 20 words in 1,500, one cut by a line break, one of which a third stands there."""
+    rng = random.Random(21)
+    items = [(i, words(rng, 20, 50_000)) for i in range(4)]
+    half = items[2][1].split()
+    docs = [
+        (1, f"{words(rng, 700)} {items[0][1]} {words(rng, 780)}"),
+        (2, f"{words(rng, 700)} {items[1][1].replace(' ', chr(10), 3)} {words(rng, 700)}"),
+        (3, f"{words(rng, 700)} {' '.join(half[:14])} {words(rng, 700)}"),
+        (4, words(rng, 900)),
+        (5, f"{words(rng, 900)} yes no"),
+        (6, None),
+    ]
+    bench = spark.createDataFrame([*items, (9, "yes no"), (10, None)], "item_id long, text string")
+    kept = decontaminate.keep_clean(frame(spark, docs), bench, decontaminate.leaked())
+    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5, 6]
+    assert kept.columns == frame(spark, docs).columns
+    leak = {r["doc_id"]: r["leak"] for r in decontaminate.find(frame(spark, docs), bench).collect()}
+    assert leak == {1: 1.0, 2: 1.0, 3: 2 / 8, 4: 0.0, 5: 0.0, 6: 0.0}
+
+
+def test_a_passage_of_many_items_in_many_documents(spark):
+    """Equal sets of windows are looked up once, whatever the number of documents."""
+    rng = random.Random(22)
+    passage = words(rng, 30)
+    docs = [(i, f"{words(rng, 20, 10**9)} {passage} {words(rng, 20, 10**9)}") for i in range(300)]
+    items = [(i, f"{words(rng, 9)} {passage}" if i % 2 else words(rng, 30)) for i in range(100)]
+    out = decontaminate.find(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["n_hit"], len(r["items"])) for r in out} == {(30, 50)} and len(out) == 300
+
+
 @pytest.mark.parametrize("group", [16_384, 3])
 def test_repeats(spark, docs, corpus, none, group):
     rows = [*corpus, (200, corpus[-1][1]), (201, "In. " * 300)]
