@@ -212,12 +212,35 @@ def test_embeddings(spark):
     assert embeddup.link_vectors(frame_.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize(("chunk", "overlap"), [(1 << 16, 1 << 11), (200, 50), (64, 4)])
-def test_bpe_round_trip(spark, corpus, chunk, overlap):
-    rows = [*corpus, (101, "  " * 400 + "\n\n a"), (102, "it's  \n\n\n b " * 90), (101, "again"), (None, "no id"), (103, "<|endoftext|> 12345    x")]
-    out = bpe.decode_documents(bpe.encode_documents(frame(spark, rows), chunk=chunk, overlap=overlap)).collect()
-    want = sorted((str(d), bpe.encode(t or "", bpe.default_ranks()), (t or "").encode()) for d, t in rows)
+@pytest.fixture(scope="module")
+def plain_bpe():
+    """The library by itself, without this package."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.mark.parametrize(("chunk", "overlap", "spread", "reach"), [(1 << 12, 1 << 8, 1 << 18, 1 << 11), (200, 50, 900, 80), (64, 4, 300, 4), (7, 2, 64, 3)])
+def test_bpe_round_trip(spark, corpus, none, plain_bpe, chunk, overlap, spread, reach):
+    rows = [*corpus, (101, "  " * 400 + "\n\n a"), (102, "it's  \n\n\n b " * 90), (101, "again"), (None, "no id"), (103, "<|endoftext|> 12345    x"), (104, "y" * 700 + " z " + " " * 900 + "ok " * 200)]
+    out = bpe.decode_documents(bpe.encode_documents(frame(spark, rows), None, chunk, overlap, spread, reach)).collect()
+    want = sorted((str(d), np.asarray(plain_bpe.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for d, t in rows)
     assert sorted((str(r["doc_id"]), bytes(r["ids"]), bytes(r["decoded"])) for r in out) == want
+    assert bpe.decode_documents(bpe.encode_documents(none)).count() == 0
+
+
+def test_bpe_pieces_meet(plain_bpe):
+    rng = random.Random(31)
+    for _ in range(300):
+        text = "".join(rng.choice(["a", "b", "é", " ", "  ", "\n", "'s", "1", "!", "x" * 30, " " * 30, "\u3000"]) for _ in range(rng.randrange(0, 120)))
+        cut = list(bpe.pieces(text, rng.randrange(1, 40), rng.randrange(0, 12)))
+        assert "".join(cut) == text
+        assert [i for x in cut for i in plain_bpe.encode_ordinary(x)] == plain_bpe.encode_ordinary(text)
 
 
 def test_sharding(spark, docs, corpus, none):
