@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
-import tempfile
 import uuid
+from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,18 +13,24 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch: texts of tens of KB then make batches of tens of MB.
+#: Rows that a worker handles at once.
 BATCH_ROWS = 400
 
 
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package, and keep Arrow batches small."""
+    """Let Python workers import this package."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     have = env.get("PYTHONPATH", "").split(os.pathsep)
     if root not in have:
         env["PYTHONPATH"] = os.pathsep.join(x for x in [root, *have] if x)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of BATCH_ROWS, so that what is made of one stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, BATCH_ROWS):
+            yield b.slice(at, BATCH_ROWS)
 
 
 @contextmanager
@@ -47,18 +50,11 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-@cache
-def _own_folder() -> str:
-    """For sessions without a shared folder, as in tests; gone when the process ends."""
-    at = tempfile.mkdtemp(prefix="leafmill-")
-    atexit.register(shutil.rmtree, at, ignore_errors=True)
-    return f"file://{at}"
-
-
 def scratch_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, one part of it for each application, so that an
-    application's tables can be dropped together once it has ended."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """A folder that driver and executors share, one part of it for each application, so that
+    an application's tables can be dropped together: the cluster's, or the warehouse where
+    none is named."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{named.rstrip('/')}/leafmill/{spark.sparkContext.applicationId}"
 
 
@@ -68,7 +64,25 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     at = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
+    back = spark.read.schema(df.schema).parquet(at)
+    back.__dict__["_cut_at"] = at
+    return back
+
+
+def _delete(spark: SparkSession, at: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop(df: DataFrame) -> None:
+    """Delete a table that `cut` made and that nothing reads any more."""
+    if at := df.__dict__.get("_cut_at"):
+        _delete(df.sparkSession, at)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete every table that this application has cut; for when its results have been read."""
+    _delete(spark, scratch_dir(spark))
 
 
 def text_key(text: str = "text") -> Column:

@@ -107,7 +107,7 @@ def _chunks(size: int, overlap: int):
     kinds = [*([pa.int64()] * 6), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in C.small(batches):
             for i in range(b.num_rows):
                 doc, key, n, text = (b.column(c)[i].as_py() for c in ("doc_id", "_key", "_copy", "text"))
                 starts = range(0, len(text), size)
@@ -122,7 +122,7 @@ def _scan(overlap: int):
     """Adds the boundaries that a chunk offers to the chunk before and to the one after it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in C.small(batches):
             head, tail = [], []
             for start, stop, chars, body in zip(*(b.column(c).to_pylist() for c in ("start", "stop", "chars", "body")), strict=True):
                 more = "" if start + len(body) == chars else "x"  # stands for what follows: the body's end is not the text's
@@ -137,7 +137,7 @@ def _scan(overlap: int):
 
 def _encode_chunks(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in C.small(batches):
             ids = [encode(body[a - start : z - start], path) for start, body, a, z in zip(*(b.column(c).to_pylist() for c in ("start", "body", "from_at", "to_at")), strict=True)]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "_key", "n", "start")), pa.array(ids, pa.binary())], names=["doc_id", "_key", "n", "start", "ids"])
 
@@ -145,14 +145,14 @@ def _encode_chunks(path: str):
 
 
 def _join_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in C.small(batches):
         out = [b"".join(p["ids"] for p in sorted(parts, key=lambda p: p["start"])) for parts in b.column("parts").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("_key"), pa.array(out, pa.binary())], names=["doc_id", "_key", "ids"])
 
 
 def _encode_texts(path: str, size: int, overlap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in C.small(batches):
             for s in range(0, b.num_rows, 200):
                 part = b.slice(s, 200)
                 ids = [encode(t or "", path, size, overlap) for t in part.column("text").to_pylist()]
@@ -196,7 +196,7 @@ def decode_documents(encoded: DataFrame, ranks: str | None = None) -> DataFrame:
     path = ranks or default_ranks()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in C.small(batches):
             for s in range(0, b.num_rows, 200):
                 part = b.slice(s, 200)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array([decode(x, path) for x in part.column("ids").to_pylist()], pa.binary())], names=[*part.schema.names, "decoded"])

@@ -88,7 +88,7 @@ def prints(words: np.ndarray, edges: np.ndarray, lengths: list[int], bloom: np.n
 
 def _doc_prints(lengths: list[int], bloom: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in C.small(batches):
             data, off = C.raw_bytes(b.column("text"))
             n_words, found = np.zeros(b.num_rows, np.int64), [[] for _ in range(b.num_rows)]
             for lo, hi, counts, words in W.word_groups(data, off, W.ALNUM):
@@ -103,7 +103,7 @@ def _doc_prints(lengths: list[int], bloom: np.ndarray):
 
 
 def _item_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in C.small(batches):
         data, off = C.raw_bytes(b.column("text"))
         out = [[], [], [], [], []]
         ids = b.column("item").to_pylist()

@@ -43,7 +43,7 @@ def line_key(line: bytes, least: int) -> bytes | None:
 
 def _occurrences(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in C.small(batches):
             digests, counts, pos = [], [], []
             for text in b.column("text").to_pylist():
                 before = len(pos)
@@ -63,7 +63,7 @@ def _occurrences(least: int):
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     """int64 columns h1, h2, d, k, pos, many rows at a time."""
     held, n = [], 0
-    for b in batches:
+    for b in C.small(batches):
         held.append(np.stack([b.column(i).to_numpy().astype(np.int64) for i in range(5)]))
         n += b.num_rows
         if n >= BLOCK:
@@ -140,7 +140,7 @@ def _stream(least_docs: int):
 
 
 def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in C.small(batches):
         maps = []
         for pos in b.column("pos").to_pylist():
             keep = np.ones((max(pos) // 8 + 1) * 8, bool)
@@ -179,7 +179,7 @@ def kept_lines(text: bytes | None, bitmap: bytes | None) -> tuple[bytes, int, in
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in C.small(batches):
         for s in range(0, batch.num_rows, 250):
             b = batch.slice(s, 250)
             done = [kept_lines(t, m) for t, m in zip(b.column("_text").to_pylist(), b.column("keep_bitmap").to_pylist(), strict=True)]

@@ -62,7 +62,7 @@ def min_hashes(sets: np.ndarray, starts: np.ndarray) -> np.ndarray:
 def _sketch(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         long = pa.list_(pa.int64())
-        for b in batches:
+        for b in C.small(batches):
             data, off = C.raw_bytes(b.column("text"))
             n, s1, s2 = (np.zeros(b.num_rows, t) for t in (np.int64, np.uint64, np.uint64))
             groups: list = [None] * b.num_rows
@@ -90,7 +90,7 @@ def _sketch(k: int):
 
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in C.small(batches):
             data, off = C.raw_bytes(b.column("text"))
             out = []
             for lo, hi, counts, words in W.word_groups(data, off, W.SPACED):
@@ -103,7 +103,7 @@ def _sets(k: int):
 
 def _linked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in C.small(batches):
             ok = []
             for x, y in zip(b.column("set_a"), b.column("set_b"), strict=True):
                 p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)

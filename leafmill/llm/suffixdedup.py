@@ -108,7 +108,7 @@ def _keys(length: int, gram: int):
     """Texts to the (fp, ctx, n) of their segments, combined a batch at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in C.small(batches):
             data, off = C.raw_bytes(b.column("text"))
             fps, ctxs = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
             for _, part, ends, _ in pieces(data, off, length):
@@ -185,7 +185,7 @@ def _entries(length: int, gram: int, sent):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sent.value
-        for b in batches:
+        for b in C.small(batches):
             data, off = C.raw_bytes(b.column("text"))
             ids = [b.column(c).to_pylist() for c in ("doc_id", "_key")]
             for row, part, ends, shift in pieces(data, off, length):
@@ -244,7 +244,7 @@ def _settle(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        for b in batches:
+        for b in C.small(batches):
             for r in zip(*(b.column(c).to_pylist() for c in ("fp", "part", "parts", "ctx", "n", "body")), strict=True):
                 if len(held) >= 1000 and r[:2] != held[-1][:2]:
                     yield from block(held)
@@ -284,7 +284,7 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bat
 
 def _remove(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in C.small(batches):
             kept, removed, spans = [], [], []
             for text, starts in zip(b.column("text").to_pylist(), b.column("starts").to_pylist(), strict=True):
                 raw = text or b""
