@@ -7,8 +7,10 @@ text is scored, and a text's distribution is the mean over its windows weighted
 by their bytes.
 
 Null texts and texts without a letter get `und` and 0. Without labelled rows
-every text gets `und`. Repeated rows are predicted each. Extra columns are
-ignored.
+every text gets `und`. Repeated rows are predicted each, equal texts alike; of
+languages with equal scores the first by name is given. Long texts are scored in
+slices of SLICE bytes, so memory does not grow with a text. An empty table gives no
+rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ EMBED = 5
 TEXTS_PER_LANG, WINDOWS_PER_TEXT = 2500, 2
 EPOCHS, BATCH, RATE = 5, 64, 4e-3
 SPAN = max(WIDTHS)
+#: Bytes of windows made at once; a whole number of windows.
+SLICE = 1 << 18
 
 
 def _fold_table() -> np.ndarray:
@@ -67,6 +71,14 @@ def windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return rows, text, np.minimum(WINDOW, stops - starts)
 
 
+def slices(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts at offsets, cut every SLICE bytes: where the parts begin (and the end), and whose they are."""
+    per = np.maximum(1, -(-np.diff(offsets) // SLICE))
+    owner = np.repeat(np.arange(len(per)), per)
+    within = np.arange(len(owner)) - np.repeat(np.cumsum(per) - per, per)
+    return np.append(offsets[:-1][owner] + within * SLICE, offsets[-1]), owner
+
+
 @dataclass
 class Network:
     langs: list[str]
@@ -169,7 +181,7 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in C.small(batches):
             for s in range(0, batch.num_rows, 250):
                 b = batch.slice(s, 250)
                 letters = np.array(b.column("letters").to_pylist(), bool)
@@ -178,15 +190,15 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
                 if net is not None and letters.any():
                     total = np.zeros((b.num_rows, len(net.langs)))
                     weight = np.zeros(b.num_rows)
-                    lo = 0
-                    data = fold(data)
-                    while lo < b.num_rows:
-                        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + (1 << 20), side="right")) - 1)
-                        rows, text, size = windows(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
-                        p = net.probabilities(rows)
-                        np.add.at(total, lo + text, p * size[:, None])
-                        np.add.at(weight, lo + text, size)
-                        np.add.at(counts, lo + text, 1)
+                    data, lo = fold(data), 0
+                    starts, owner = slices(off)
+                    while lo < len(owner):
+                        hi = max(lo + 1, int(np.searchsorted(starts, starts[lo] + SLICE, side="right")) - 1)
+                        rows, text, size = windows(data[starts[lo] : starts[hi]], starts[lo : hi + 1] - starts[lo])
+                        p, at = net.probabilities(rows), owner[lo + text]
+                        np.add.at(total, at, p * size[:, None])
+                        np.add.at(weight, at, size)
+                        np.add.at(counts, at, 1)
                         lo = hi
                     total /= np.maximum(weight, 1)[:, None]
                     best = total.argmax(axis=1)
