@@ -3,20 +3,25 @@
 Texts are folded (case, homoglyphs, digit and sign substitutions), one
 Aho-Corasick pass finds lexicon words and exception phrases, hits inside an
 exception phrase don't count, and the sum of the hits' weights is set against
-the text's length. Words, weights and the two coefficients of the score are
-learned from a bounded sample of labelled texts.
+the text's length. Words, weights, exception phrases (a lexicon word and a neighbour
+that clean texts hold and toxic ones don't, beside a few well-known ones) and the two
+coefficients of the score are learned from a bounded sample of labelled texts.
 
 Null and empty texts have no hits and get the score of a clean text. Several
 labels of one doc_id count as toxic if any of them is. Repeated rows are scored
-each. Without labels of both kinds every score is 0. Extra columns are ignored.
+each, equal texts alike; words of equal chance and weight enter the lexicon by name.
+Without labels of both kinds every score is 0. An empty table gives no rows. A long
+text is read in one pass, in time in proportion to its length. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +37,8 @@ SAMPLE_TOXIC, SAMPLE_CLEAN, LEXICON_SIZE = 5000, 15000, 4096
 LEAST_COUNT, LEAST_ODDS = 4, 3.0
 #: Of the lexicon's words, at most so many in expectation are there by chance.
 FALSE_SHARE = 0.1
+#: Phrases learned beside these: so many at most.
+LEARNED = 4096
 #: Harmless uses of words that a lexicon may hold.
 EXCEPTIONS = ("clown fish", "circus clown", "trash can", "trash bin", "sore loser", "pond scum")
 
@@ -102,7 +109,10 @@ class Lexicon:
                 continue
             (found if weight else spared).append((start, stop, weight))
         if spared:
-            found = [x for x in found if not any(a <= x[0] and x[1] <= b for a, b, _ in spared)]
+            spared.sort()
+            starts = [x[0] for x in spared]
+            reach = list(accumulate((x[1] for x in spared), max))  # the furthest end of those that start so early
+            found = [x for x in found if not (k := bisect_right(starts, x[0])) or reach[k - 1] < x[1]]
         return sum(x[2] for x in found), len(found), text.count(" ") + text.count("\n") + 1
 
     def features(self, text: str | None) -> tuple[float, float]:
@@ -147,7 +157,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             c.clear()
         return pa.RecordBatch.from_arrays(out, names=["word", "n_clean", "n_toxic"])
 
-    for b in batches:
+    for b in C.small(batches):
         for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
             seen[toxic].update(set(words(fold(text))))
             if len(seen[0]) + len(seen[1]) > 100_000:
@@ -155,6 +165,30 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
+def _count_phrases(lexicon: Lexicon):
+    """Texts to the two-word phrases with a lexicon word in them, once a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in C.small(batches):
+            phrases, toxic = [], []
+            for text, mark in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
+                t = fold(text)
+                own = {f"{x} {y}" for x, y in pairwise(words(t)) if (x in lexicon.weights) != (y in lexicon.weights)}
+                own = [p for p in own if p in t]  # with one space between, as the automaton looks for it
+                phrases += own
+                toxic += [mark] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(phrases, pa.string()), pa.array(toxic, pa.int32())], names=["phrase", "toxic"])
+
+    return run
+
+
+def learned_exceptions(sample: DataFrame, lexicon: Lexicon) -> tuple[str, ...]:
+    """Phrases in LEAST_COUNT clean sample texts or more and in no toxic one; at most LEARNED."""
+    counts = sample.mapInArrow(_count_phrases(lexicon), "phrase string, toxic int").groupBy("phrase").agg(F.count("*").alias("n"), F.max("toxic").alias("toxic"))
+    rows = counts.where((F.col("toxic") == 0) & (F.col("n") >= LEAST_COUNT)).orderBy(F.desc("n"), "phrase").limit(LEARNED).collect()
+    return tuple(r["phrase"] for r in rows)
+
+
 def chance(share: float) -> Column:
     """Binomial tail: how likely a word of n_toxic + n_clean texts has n_toxic toxic ones
     or more if it is as toxic as all texts, of which share are."""
@@ -184,6 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Lexicon:
     n = tested.count()
     held = max((i for i, r in enumerate(top, 1) if r["chance"] * n <= FALSE_SHARE * i), default=0)  # Benjamini-Hochberg
     lexicon = Lexicon({r["word"]: r["weight"] for r in top[:held]})
+    lexicon.exceptions += learned_exceptions(sample, lexicon)
     x = featured(sample, lexicon, "toxic int").select("toxic", "x0", "x1").collect()
     lexicon.coefficients = logistic(np.array([[r["x0"], r["x1"]] for r in x]), np.array([r["toxic"] for r in x], float))
     return lexicon
@@ -194,7 +229,7 @@ def featured(rows: DataFrame, lexicon: Lexicon, key: str) -> DataFrame:
     name = key.split()[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in C.small(batches):
             hits, x = [], []
             for t in b.column("text").to_pylist():
                 total, n, size = lexicon.hits(t or "")
@@ -224,7 +259,7 @@ def keep_clean(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     names, schema = docs.columns, docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in C.small(batches):
             x = np.array([lexicon.features(t) for t in batch.column("text").to_pylist()], float).reshape(-1, 2)
             yield batch.filter(pa.array(lexicon.score(x) < 0.5)).select(names)
 
