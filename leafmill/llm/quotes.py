@@ -10,12 +10,13 @@ of least level, and without one the message before it in its conversation. Threa
 are what the answers connect; depth orders a thread so that a reply follows what
 it answers.
 
-Work on a conversation goes by blocks of TURNS turns and a table of the blocks, so
-a conversation that holds much of the data is split. Originals are reduced to the
+Work on a conversation goes by ranges of all messages in order and a table of the
+ranges, so a conversation that holds much of the data is split, whatever its turns. Originals are reduced to the
 first message of each passage before they meet the quotes.
 
 A null text is empty; a null turn counts as -1; null conv_ids form one conversation
-before all others. Rows with equal conv_id and turn are ordered by role and text.
+before all others. Rows with equal conv_id and turn are ordered by role and a hash of
+the text. An empty table gives no rows; long texts are split into lines like others.
 Passages under MIN_CHARS characters are not linked. Extra columns are ignored.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from leafmill.llm import _common as C
 
-MIN_CHARS, TURNS = 12, 512
+MIN_CHARS = 12
 MARKS = r"^[ \t]{0,3}((?:>[ \t]?)+)"
 
 
@@ -67,10 +68,15 @@ def links(messages: DataFrame) -> DataFrame:
 
 
 def in_order(messages: DataFrame) -> DataFrame:
-    """Adds idx (place in the conversation), prev_t and blk."""
-    rows = messages.withColumn("blk", F.floor(F.col("t") / TURNS))
-    inside = Window.partitionBy("c", "blk").orderBy("t", "role", "text", "mid")
-    rows = rows.withColumns({"local": F.row_number().over(inside) - 1, "before": F.lag("t").over(inside)})
+    """Adds idx (place in the conversation), prev_t and blk: the range of all messages, put in
+    order, that a message is in. A conversation spans as many ranges as it needs, also where
+    its turns are all equal or null."""
+    ranges = max(int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    order = ["c", "t", "role", "_text", "mid"]
+    rows = messages.withColumn("_text", F.xxhash64("text")).repartitionByRange(ranges, *order).withColumn("blk", F.spark_partition_id())
+    rows = C.cut(rows)
+    inside = Window.partitionBy("c", "blk").orderBy(*order[1:])
+    rows = rows.withColumns({"local": F.row_number().over(inside) - 1, "before": F.lag("t").over(inside)}).drop("_text")
     blocks = rows.groupBy("c", "blk").agg(F.count("*").alias("n"), F.max("t").alias("last"))
     of_all = Window.partitionBy("c").orderBy("blk")
     blocks = blocks.withColumns({"offset": F.coalesce(F.sum("n").over(of_all.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "carry": F.lag("last").over(of_all)})
