@@ -43,19 +43,22 @@ def sign_keys(vectors: np.ndarray, bits: int, tables: int) -> np.ndarray:
     return (signs * (1 << np.arange(bits, dtype=np.int64))).sum(axis=2)
 
 
+def rows_of(column: pa.Array) -> np.ndarray:
+    """Lists of one length without nulls as a matrix, from the values' buffer."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
 def _keys(bits: int, tables: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in C.small(batches):
             sizes = b.column("size").to_numpy()
-            keys: list = [None] * b.num_rows
-            vectors = b.column("vector").to_pylist()
+            keys = np.zeros((b.num_rows, tables), np.int64)
             for d in np.unique(sizes):
                 at = np.flatnonzero(sizes == d)
-                v = np.array([vectors[i] for i in at], float)
-                v /= np.abs(v).max(axis=1, keepdims=True)
-                for i, k in zip(at, sign_keys(v, bits, tables), strict=True):
-                    keys[i] = k
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.list_(pa.int64()))], names=[*b.schema.names, "keys"])
+                v = rows_of(b.column("vector").take(pa.array(at)))
+                keys[at] = sign_keys(v / np.abs(v).max(axis=1, keepdims=True), bits, tables)
+            ends = pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * tables)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))], names=[*b.schema.names, "keys"])
 
     return run
 
@@ -69,9 +72,9 @@ def _compare(cosine: float):
         x, y = t.column("x")[0].as_py(), t.column("y")[0].as_py()
         table = t.column("t")[0].as_py()
         node, own, block = (t.column(c).to_numpy() for c in ("node", "copies", "block"))
-        v = np.array(t.column("vector").to_pylist(), float).reshape(n, -1)
-        keys = np.array(t.column("keys").to_pylist(), np.int64).reshape(n, -1)[:, :table]
-        v /= np.abs(v).max(axis=1, keepdims=True)
+        v = rows_of(t.column("vector").combine_chunks())
+        keys = rows_of(t.column("keys").combine_chunks())[:, :table]
+        v = v / np.abs(v).max(axis=1, keepdims=True)
         norms = (v * v).sum(axis=1)
         links, ends = np.zeros(n, np.int64), ([], [])
         left = np.flatnonzero(block == x)
