@@ -212,6 +212,22 @@ def test_embeddings(spark):
     assert embeddup.link_vectors(frame_.limit(0)).count() == 0
 
 
+def test_embeddings_at_the_usual_recall(spark):
+    """300 pairs at a cosine just over 0.9, among vectors that fill the buckets."""
+    rng = np.random.default_rng(12)
+    a = rng.normal(size=(300, 32))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    side = rng.normal(size=(300, 32))
+    side -= (side * a).sum(axis=1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    c = rng.uniform(0.9005, 0.93, (300, 1))
+    b = c * a + np.sqrt(1 - c * c) * side
+    rest = rng.normal(size=(9000, 32))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([a, b, rest]))]
+    got = {r["vec_id"]: r["n_links"] for r in embeddup.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).where("n_links > 0").collect()}
+    assert sum(got.get(i, 0) > 0 and got.get(300 + i, 0) > 0 for i in range(300)) >= 297
+
+
 @pytest.fixture(scope="module")
 def plain_bpe():
     """The library by itself, without this package."""
@@ -253,11 +269,36 @@ def test_sharding(spark, docs, corpus, none):
         sizes[r["shard"]] = sizes.get(r["shard"], 0) + r["size"]
         groups.setdefault(r["group"], set()).add(r["shard"])
     assert all(sorted(v) == list(range(len(v))) for v in slots.values()) and set(slots) <= set(range(16))
+    total, largest = sum(sizes.values()), max(r["size"] for r in out)
+    assert sum(r["size"] for r in out) == total and max(sizes.values()) <= total / 16 + largest
+    share = {}
+    for r in out:
+        n = share.setdefault(r["group"], [0, 0, 0])
+        n[0], n[1], n[2] = n[0] + r["size"], n[1] + r["tokens"], n[2] + 1
+    sums = [sum(n[k] for n in share.values()) for k in range(3)]
+    fair = {g for g, n in share.items() if all(16 * x <= s for x, s in zip(n, sums, strict=True))}
+    assert all(len(groups[g]) == 1 for g in fair) and len(fair) > 50
+    assert any(len(s) > 1 for s in groups.values())
     text = dict(corpus)
     assert all(r["text_crc32"] == zlib.crc32((text[r["doc_id"]] or "").encode()) for r in out if r["doc_id"] in text)
     assert sharding.assign(none).count() == 0
 
 
+def test_equal_rows_spread(spark):
+    """One row, id and all, many times: a slot each, in all shards."""
+    out = sharding.assign(frame(spark, [(1, "the very same row")] * 3000)).collect()
+    at = {}
+    for r in out:
+        at.setdefault(r["shard"], []).append(r["slot"])
+    assert sorted(at) == list(range(16)) and all(sorted(v) == list(range(len(v))) for v in at.values())
+    assert {r["tokens"] for r in out} == {4} and max(map(len, at.values())) < 1.3 * 3000 / 16
+
+
+def test_tokens_of_scripts(spark):
+    out = sharding.assign(frame(spark, [(1, "two\nwords"), (2, "東京 tower"), (3, None), (4, " \t ")])).collect()
+    assert {r["doc_id"]: r["tokens"] for r in out} == {1: 2, 2: 3, 3: 0, 4: 0}
+
+
 def test_place_is_balanced():
     rng = np.random.default_rng(3)
     v = np.column_stack([rng.lognormal(8, 1, 3000), rng.lognormal(6, 1, 3000), np.ones(3000)])
@@ -267,6 +308,43 @@ def test_place_is_balanced():
     assert np.bincount(where, v[:, 2], 16).max() < 1.1 * 3000 / 16
 
 
+def test_place_agrees_with_plain_packing():
+    """Against a loop over shards, one item at a time."""
+    rng = np.random.default_rng(4)
+    v = np.column_stack([rng.lognormal(5, 1, 200), rng.lognormal(3, 1, 200), np.ones(200)])
+    unit = [v[:, k].sum() / 16 for k in range(3)]
+    x = [[row[k] / unit[k] for k in range(3)] for row in v]
+    free, want = [[1.0] * 3 for _ in range(16)], {}
+    for i in sorted(range(200), key=lambda i: (-max(x[i]), i)):
+        fit = [s for s in range(16) if all(f >= a - 1e-9 for f, a in zip(free[s], x[i], strict=True))]
+        fit = fit or [s for s in range(16) if free[s][0] >= max(f[0] for f in free) - 1e-12]
+        best = max(fit, key=lambda s: (round(sum(max(f, 0) * a for f, a in zip(free[s], x[i], strict=True)), 12), -s))
+        want[i] = best
+        free[best] = [f - a for f, a in zip(free[best], x[i], strict=True)]
+    assert [want[i] for i in range(200)] == sharding.place(v).tolist()
+
+
+def plain_language(net, text):
+    """The network window by window, filter by filter, position by position."""
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0
+    raw = bytearray()
+    for c in text:
+        low = c.lower() if c < "\u0100" and len(c.lower().encode()) == len(c.encode()) and c not in "ÿŸ" else c
+        raw += (low if ord(c) > 127 or low.isalpha() else " ").encode()
+    total, cache = np.zeros(len(net.langs)), {}
+    for at in range(0, len(raw), langid.WINDOW):
+        part = bytes(raw[at : at + langid.WINDOW])
+        if part not in cache:
+            e = net.embed[np.frombuffer(part.ljust(langid.WINDOW + langid.SPAN - 1, b"\0"), np.uint8)]
+            acts = np.array([(e[i : i + langid.SPAN].ravel()[:, None] * net.filters).sum(axis=0) for i in range(langid.WINDOW)])
+            z = np.maximum(acts.max(axis=0) + net.bias, 0) @ net.out + net.out_bias
+            cache[part] = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        total += cache[part] * len(part)
+    total /= len(raw)
+    return net.langs[int(total.argmax())], float(total.max())
+
+
 def test_language(spark, none):
     rng = random.Random(4)
     parts = {"aa": ["kalo", "miku", "tase"], "bb": ["thorn", "shwik", "gryst"], "cc": ["écra", "oué", "çente"]}
@@ -279,6 +357,50 @@ def test_language(spark, none):
     assert langid.predict(none, net).count() == 0
     assert langid.fit(spark.createDataFrame([], "doc_id long, text string, lang string")) is None
     assert {r["lang_pred"] for r in langid.predict(frame(spark, tail), None).collect()} == {"und"}
+    tail += [(905, "kalo miku tase " * 60_000), (906, "kalo"), (907, "thorn écra " * 9)]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(frame(spark, tail), net).collect()}
+    for i, t in tail:
+        name, score = plain_language(net, t)
+        assert got[i][0] == name and got[i][1] == pytest.approx(score, abs=1e-5)
+    assert got[903] == got[906]
+
+
+def plain_hits(lexicon, text):
+    """Whole words of the lexicon, none inside an exception phrase, by regular expressions."""
+    import re
+
+    t = toxicity.fold(text)
+    whole = lambda x: list(re.finditer(rf"(?<![^\W_])(?={re.escape(x)}(?![^\W_]))", t))
+    spared = [(m.start(), m.start() + len(p)) for p in map(toxicity.fold, lexicon.exceptions) for m in whole(p)]
+    hits = [(m.start(), m.start() + len(w)) for w in lexicon.weights for m in whole(w)]
+    return sum(not any(a <= i and j <= b for a, b in spared) for i, j in hits)
+
+
+def test_long_texts_of_phrases_take_linear_time():
+    import time
+
+    lexicon = toxicity.Lexicon({"ciown": 3.0, "idiot": 4.0}, (-3.0, 1.0, 1.0))
+    lexicon.hits("warm up")
+    took = []
+    for n in (20_000, 80_000):
+        begun = time.process_time()
+        assert lexicon.hits("clown fish idiot " * n)[1] == n
+        took.append(time.process_time() - begun)
+    assert took[1] < 12 * took[0]
+
+
+def test_exceptions_are_learned(spark):
+    """Clean texts that hold a lexicon word in one phrase only teach that phrase."""
+    rng = random.Random(17)
+    rows, labels = [], []
+    for i in range(3000):
+        bad = i % 3 == 0
+        more = "idiot" if bad else "idiot board" if i % 100 == 1 else ""
+        rows.append((i, f"{words(rng, 20)} {more} {words(rng, 20)}"))
+        labels.append((i, int(bad)))
+    lexicon = toxicity.fit(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert set(lexicon.weights) == {"idiot"} and "idiot board" in lexicon.exceptions
+    assert [toxicity.Lexicon.hits(lexicon, t)[1] for t in ("an idiot board", "an idiot", "idiot boards")] == [0, 1, 1]
 
 
 def test_toxicity(spark, none):
@@ -297,6 +419,11 @@ def test_toxicity(spark, none):
     got = {r["doc_id"]: r["score"] >= 0.5 for r in toxicity.score(frame(spark, list(tests.items())), lexicon).collect()}
     assert got == {700: True, 701: True, 702: False, 703: False, 704: False, 705: False, 706: True, 707: True}
     assert [r["doc_id"] for r in toxicity.keep_clean(frame(spark, list(tests.items())), lexicon).orderBy("doc_id").collect()] == [702, 703, 704, 705]
+    hot = " ".join(rng.choice(["idiot", "moron", "w1", "sore", "loser", "clown", "fish", "1diot", "clown fish"]) for _ in range(4000))
+    mixed = [(800 + i, " ".join(rng.choice(["idiot", "clown", "fish", "clown fish", "w2", "idiots", "mor0n", "x-moron"]) for _ in range(rng.randrange(1, 30)))) for i in range(60)]
+    got = {r["doc_id"]: r["hits"] for r in toxicity.score(frame(spark, [(799, hot), *mixed]), lexicon).collect()}
+    assert got == {i: plain_hits(lexicon, t) for i, t in [(799, hot), *mixed]}
+    assert toxicity.score(none, lexicon).count() == 0 and toxicity.keep_clean(none, lexicon).count() == 0
     blank = toxicity.fit(none, spark.createDataFrame([], "doc_id long, toxic int"))
     assert toxicity.score(frame(spark, rows[:3]), blank).where("score > 0.5").count() == 0
 
@@ -348,6 +475,18 @@ def test_quotes(spark):
     assert quotes.build(df.limit(0)).count() == 0
 
 
+def test_quotes_of_null_ids_spread(spark):
+    """Messages without ids are one conversation, dealt to many ranges; order and links hold."""
+    rows = [(None, None, f"r{i:04d}", f"message number {i} of this talk") for i in range(400)] + [(5, 1, "user", "> message number 7 of this talk\nyes")]
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        out = quotes.build(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert sorted(r["depth"] for r in out if r["conv_id"] is None) == list(range(400))
+    assert [(r["linked"], r["parent_conv_id"], r["text"]) for r in out if r["conv_id"] == 5] == [(True, None, "yes")]
+
+
 def test_operator_results_feed_the_pipeline(spark, tmp_path, corpus):
     import corpus_pipeline
 
