@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def count_map(rows: DataFrame, keys: list[str], of: str, name: str) -> DataFrame:
-    """Counts of a column's values as a map, keys in order."""
-    counts = rows.where(F.col(of).isNotNull()).groupBy(*keys, of).agg(F.count("*").alias("n"))
-    return counts.groupBy(*keys).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(of, "n")))).alias(name))
+def tally(values: Column) -> Column:
+    """How often each value of an array stands in it, as a map, keys in order."""
+    kinds = F.array_sort(F.array_distinct(values))
+    return F.map_from_entries(F.transform(kinds, lambda k: F.struct(k.alias("key"), F.size(F.filter(values, lambda v: v == k)).cast("long").alias("value"))))
 
 
 def report(blocks: DataFrame) -> DataFrame:
     """AGG-01: per document pages, blocks, counts by type and by open flag, and the flagged
-    blocks in order. blocks: doc_id, page, block_no, type, flags."""
+    blocks in order. blocks: doc_id, page, block_no, type, flags. One pass: what a block adds
+    is a few words, and a document's words come together once."""
+    flagged = F.when(F.size("flags") > 0, F.struct((F.col("page") + 1).alias("page"), F.col("block_no").alias("block"), "type", "flags"))
     base = blocks.groupBy("doc_id").agg(
-        F.countDistinct("page").alias("n_pages"),
+        F.size(F.collect_set("page")).cast("long").alias("n_pages"),
         F.count("*").alias("n_blocks"),
-        F.array_sort(F.collect_list(F.when(F.size("flags") > 0, F.struct((F.col("page") + 1).alias("page"), F.col("block_no").alias("block"), "type", "flags")))).alias("flagged_blocks"),
+        F.collect_list("type").alias("types"),
+        F.array_sort(F.collect_list(flagged)).alias("flagged_blocks"),
     )
-    kinds = count_map(blocks, ["doc_id"], "type", "block_types")
-    flags = count_map(blocks.select("doc_id", F.explode("flags").alias("flag")), ["doc_id"], "flag", "open_flags")
-    none = F.create_map().cast("map<string,bigint>")
-    return base.join(kinds, "doc_id").join(flags, "doc_id", "left").withColumn("open_flags", F.coalesce("open_flags", none))
+    flags = F.flatten(F.transform("flagged_blocks", lambda x: x["flags"]))
+    return base.select("doc_id", "n_pages", "n_blocks", "flagged_blocks", tally(F.col("types")).alias("block_types"), tally(flags).alias("open_flags"))
+
+
+def spans(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """AGG-05, SNK-11: pages, read and reviewed pages of each document; rows: keys, is_read, is_reviewed."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("pages"), F.count_if("is_read").alias("read"), F.count_if("is_reviewed").alias("review"))
 
 
 def work_left(wanted: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
@@ -82,9 +88,12 @@ def drop_copies(files: DataFrame) -> DataFrame:
 
 def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     """Adds n, from 0 in order of all rows, without one task that holds them: rows are
-    range-partitioned, and each partition starts where the counts before it end."""
+    range-partitioned, and each partition starts where the counts before it end. The ranges
+    must be drawn once for both; they are checkpointed where the session names a folder for
+    it, else kept by the executors until the session ends."""
     spread = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
-    spread = spread.withColumns({"_part": F.shiftright("_id", 33), "_at": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_id").persist()
+    spread = spread.withColumns({"_part": F.shiftright("_id", 33), "_at": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_id")
+    spread = spread.checkpoint() if rows.sparkSession.conf.get("spark.checkpoint.dir", None) else spread.persist()
     counts = spread.groupBy("_part").agg(F.count("*").alias("_n"))  # a row a partition
     start = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return spread.join(F.broadcast(counts.select("_part", start.alias("_start"))), "_part").withColumn("n", F.col("_start") + F.col("_at")).drop("_part", "_at", "_start")

@@ -77,7 +77,17 @@ def rdh09_layout_box(spark, d):
     return b.select("l_orderkey", "l_linenumber", F.get("b", F.lit(0)).alias("x0"), F.get("b", F.lit(2)).alias("x1"))
 
 
-@query()
+@query("""
+WITH RECURSIVE s AS (SELECT p_partkey, CAST(trunc(p_retailprice * 5) AS BIGINT) AS w0, CAST(p_size * 101 AS BIGINT) AS h0 FROM part),
+a AS (SELECT *, CASE WHEN w0 * h0 > 6291456 THEN sqrt(6291456.0 / (w0 * h0)) WHEN w0 * h0 < 50176 THEN sqrt(50176.0 / (w0 * h0)) ELSE 1.0 END AS k FROM s),
+r AS (
+  SELECT p_partkey, greatest(1, CAST(round_even(w0 * k / 28, 0) AS BIGINT)) AS w, greatest(1, CAST(round_even(h0 * k / 28, 0) AS BIGINT)) AS h, w0 / h0 AS shape, 0 AS step FROM a
+  UNION ALL
+  SELECT p_partkey, CASE WHEN wide THEN w - 1 ELSE w END, CASE WHEN NOT wide AND h > 1 THEN h - 1 ELSE h END, shape, step + 1
+  FROM (SELECT *, CASE WHEN w = 1 THEN false WHEN h = 1 THEN true ELSE abs((w - 1) / h - shape) < abs(w / (h - 1) - shape) END AS wide FROM r WHERE w * h * 784 > 6291456)
+)
+SELECT p_partkey, CAST(arg_max(w, step) * 28 AS INTEGER) AS w, CAST(arg_max(h, step) * 28 AS INTEGER) AS h FROM r GROUP BY p_partkey
+""")
 def rdh13_fitted(spark, d):
     return table(spark, d, "part").select("p_partkey", X.fitted((F.col("p_retailprice") * 5).cast("int"), F.col("p_size") * 101).alias("s")).select("p_partkey", "s.w", "s.h")
 

@@ -132,7 +132,11 @@ def rdm01_markdown_blocks(spark, d):
     return B.markdown_blocks(docs.select("doc_id", F.lit(0).alias("page"), "text", F.lit(False).alias("cut"))).drop("note")
 
 
-@query()
+@query("""
+WITH t AS (SELECT *, count(*) OVER (PARTITION BY conv_id, role, text) AS n FROM conversations)
+SELECT conv_id AS doc_id, 0 AS page, CAST(min(turn) AS INTEGER) AS pos, CAST(count(*) AS INTEGER) AS copies
+FROM t GROUP BY conv_id, CASE WHEN n >= 5 AND text <> '' THEN role || md5(text) ELSE 't' || turn END
+""")
 def rdb01_drop_repeats(spark, d):
     """Turns of a conversation by role and text, as elements of a page."""
     turns = table(spark, d, "conversations")
@@ -202,8 +206,7 @@ SELECT doc_id, count(*) AS n_blocks, count(*) FILTER (trim(content) = '') AS n_e
        count(*) FILTER ((length(bare) - length(replace(bare, '$', ''))) % 2 = 1) AS n_odd_math FROM c GROUP BY doc_id
 """)
 def val13_math_pairing(spark, d):
-    bare = F.replace(F.replace("content", F.lit("\\$"), F.lit("")), F.lit("$$"), F.lit(""))
-    return lines(spark, d).groupBy("doc_id").agg(F.count("*").alias("n_blocks"), F.count_if(F.trim("content") == "").alias("n_empty"), F.count_if(F.pmod(V.count_of(bare, "$"), F.lit(2)) == 1).alias("n_odd_math"))
+    return lines(spark, d).groupBy("doc_id").agg(F.count("*").alias("n_blocks"), F.count_if(F.trim("content") == "").alias("n_empty"), F.count_if(V.odd_dollars(F.col("content"))).alias("n_odd_math"))
 
 
 @query(r"""
@@ -271,8 +274,7 @@ SELECT doc_id, count(DISTINCT page) AS n_pages, count(*) AS n_blocks, any_value(
 """)
 def agg01_report(spark, d):
     """The flagship: lines as blocks, two of the validators, the per-document report."""
-    bare = F.replace(F.replace("content", F.lit("\\$"), F.lit("")), F.lit("$$"), F.lit(""))
-    flags = V.as_set(V.flag("empty", F.trim("content") == ""), V.flag("inline_math", F.pmod(V.count_of(bare, "$"), F.lit(2)) == 1))
+    flags = V.as_set(V.flag("empty", F.trim("content") == ""), V.flag("inline_math", V.odd_dollars(F.col("content"))))
     out = R.report(lines(spark, d).withColumn("flags", flags))
     shown = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
     return out.select("doc_id", "n_pages", "n_blocks", shown("block_types").alias("block_types"), shown("open_flags").alias("open_flags"), F.size("flagged_blocks").cast("long").alias("n_flagged"))
@@ -303,7 +305,8 @@ def agg04_completion(spark, d):
 SELECT conv_id, count(*) AS pages, count(*) FILTER (role = 'user') AS "read", count(*) FILTER (role = 'assistant') AS review FROM conversations GROUP BY conv_id
 """)
 def agg05_status(spark, d):
-    return table(spark, d, "conversations").groupBy("conv_id").agg(F.count("*").alias("pages"), F.count_if(F.col("role") == "user").alias("read"), F.count_if(F.col("role") == "assistant").alias("review"))
+    turns = table(spark, d, "conversations")
+    return R.spans(turns.select("conv_id", (F.col("role") == "user").alias("is_read"), (F.col("role") == "assistant").alias("is_reviewed")), ["conv_id"])
 
 
 @query("""
@@ -388,7 +391,18 @@ def asm06_join_candidates(spark, d):
     return A.join_candidates(halves(spark, d))
 
 
-@query()
+@query(rf"""
+WITH {CUT}, c AS (SELECT doc_id, page, trim(content, ' ' || chr(10) || chr(9) || chr(13)) AS c FROM p),
+j AS (SELECT a.doc_id, a.c AS a, b.c AS b,
+  a.c <> '' AND NOT regexp_matches(a.c, '[.!?:;)\]"''”’]\s*$|\$\$\s*$') AND regexp_matches(b.c, '^[\p{{Ll}}ªº]') AS joins FROM c a JOIN c b ON a.doc_id = b.doc_id AND a.page = 0 AND b.page = 1),
+h AS (SELECT doc_id, lower(regexp_extract(a, '([\p{{L}}\p{{Nl}}\p{{No}}]+)-$', 1)) AS x, lower(regexp_extract(b, '^[\p{{L}}\p{{Nl}}\p{{No}}]+')) AS y FROM j WHERE joins AND regexp_matches(a, '\S-$')),
+r AS (SELECT doc_id, string_split(unnest(regexp_extract_all(lower(c), '[\p{{L}}\p{{Nl}}\p{{No}}]+(?:-[\p{{L}}\p{{Nl}}\p{{No}}]+)*')), '-') AS p FROM c SEMI JOIN h USING (doc_id)),
+w AS (SELECT doc_id, unnest(p) AS w FROM r UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(p)), lambda i: p[i] || '-' || p[i + 1])) FROM r),
+k AS (SELECT h.doc_id, CASE WHEN any_value(x) = '' THEN true WHEN count(*) FILTER (w = x || '-' || y) <> count(*) FILTER (w = x || y) THEN count(*) FILTER (w = x || '-' || y) > count(*) FILTER (w = x || y)
+  ELSE any_value(x) IN ('well', 'so', 'self', 'non', 'ill', 'half', 'first', 'quasi') END AS keep FROM h LEFT JOIN w USING (doc_id) GROUP BY h.doc_id),
+t AS (SELECT doc_id, CASE WHEN NOT joins THEN a WHEN keep IS NULL THEN a || ' ' || b WHEN keep THEN a || b ELSE left(a, length(a) - 1) || b END AS first, CASE WHEN NOT joins THEN b END AS last FROM j LEFT JOIN k USING (doc_id))
+SELECT doc_id, regexp_replace(concat_ws(chr(10) || chr(10), '<!-- page 1 -->', nullif(first, ''), '<!-- page 2 -->', nullif(last, '')) || chr(10), '\n{{3,}}', chr(10) || chr(10), 'g') AS markdown FROM t
+""".replace("\\\\", "\\"))
 def asm05_assemble(spark, d):
     return A.assemble(halves(spark, d))
 

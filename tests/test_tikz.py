@@ -76,3 +76,70 @@ def test_breaker():
 
     call = M.Caller(down, retries=0, pause=0.0, limit=2)
     assert [call(str(i))[1] for i in range(5)] == ["unavailable"] * 5 and asked == ["0", "1"]
+
+
+def test_breaker_under_threads_and_stops(tmp_path):
+    import threading
+    from concurrent.futures import ThreadPoolExecutor
+
+    gate = threading.Barrier(8)
+
+    def down(request):
+        gate.wait(10)
+        raise M.Unavailable
+
+    call = M.Caller(down, retries=0, pause=0.0, limit=8)
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(call, map(str, range(8))))
+    assert call.misses == 8 and call("x")[2] == "too many failures in a row"
+    moods = iter([M.Unavailable("a"), M.Rejected("b"), M.Unavailable("c")])
+
+    def moody(request):
+        raise next(moods)
+
+    call = M.Caller(moody, retries=0, pause=0.0, limit=2)
+    assert [call("x")[1] for _ in range(4)] == ["unavailable", "rejected", "unavailable", "unavailable"] and call.misses == 2
+    flag = M.StopFlag(str(tmp_path / "stop"))
+    call = M.Caller(str, stop=flag)
+    assert call("x")[0] == "x"
+    flag.set()
+    assert call("x")[1] == "stopped"
+    assert M.system_error(OSError(28, "full")) and not M.system_error(OSError("odd")) and not M.system_error(ValueError())
+
+
+def test_endpoint():
+    import json
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Server(BaseHTTPRequestHandler):
+        def say(self, code, body):
+            self.send_response(code)
+            self.end_headers()
+            self.wfile.write(json.dumps(body).encode())
+
+        def do_GET(self):
+            self.say(200, {"data": [{"id": "the-model"}]})
+
+        def do_POST(self):
+            asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            said = asked["messages"][-1]["content"]
+            code = {"no": 400, "down": 503}.get(said, 200)
+            self.say(code, {"choices": [{"message": {"content": f"{asked['model']}: {said}"}, "finish_reason": "length" if said == "long" else "stop"}]})
+
+        def log_message(self, *a):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        ask = M.ChatEndpoint(f"http://127.0.0.1:{server.server_port}")
+        assert ask("hello") == "the-model: hello" and isinstance(ask("long"), M.CutOff)
+        with pytest.raises(M.Rejected, match="HTTP 400"):
+            ask("no")
+        with pytest.raises(M.Unavailable, match="HTTP 503"):
+            ask("down")
+    finally:
+        server.shutdown()
+    with pytest.raises(M.Unavailable):
+        M.ChatEndpoint("http://127.0.0.1:1", timeout=2).first_model()
