@@ -2,13 +2,14 @@
 
 A line that begins with `>` marks is quoted at the level of their number; the rest
 is the message's own. Runs of lines of one level without a blank line between are
-passages, compared by the hash of their text without marks, case and extra white
-space. A quoted passage belongs to the first message that has it as its own
-passage: of the same conversation and an earlier turn, else of any earlier
-conversation (by id). A message answers the original of its first linked passage
-of least level, and without one the message before it in its conversation. Threads
-are what the answers connect; depth orders a thread so that a reply follows what
-it answers.
+passages. Passages, and the lines of those that have several, are compared by the
+hash of their text without marks, case and extra white space. A quoted passage belongs
+to the first message that has it as its own passage or line: of the same conversation
+and an earlier turn, else of any earlier conversation (by id). Where the whole passage
+is nobody's, as in a trimmed or interleaved quote, its lines are looked for one by one.
+A message answers the original of its first linked passage of least level, and without
+one the message before it in its conversation. Threads are what the answers connect;
+depth orders a thread so that a reply follows what it answers.
 
 Work on a conversation goes by ranges of all messages in order and a table of the
 ranges, so a conversation that holds much of the data is split, whatever its turns. Originals are reduced to the
@@ -17,7 +18,8 @@ first message of each passage before they meet the quotes.
 A null text is empty; a null turn counts as -1; null conv_ids form one conversation
 before all others. Rows with equal conv_id and turn are ordered by role and a hash of
 the text. An empty table gives no rows; long texts are split into lines like others.
-Passages under MIN_CHARS characters are not linked. Extra columns are ignored.
+Passages and lines under MIN_CHARS characters are linked within their conversation alone.
+Of messages that tie the one of least conversation and turn counts. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,30 +42,36 @@ def normalised(text: Column) -> Column:
 
 
 def passages(messages: DataFrame) -> DataFrame:
-    """(mid, level, first, h1, h2) of the passages of messages (mid, text)."""
+    """(mid, level, first, kind, pos, far, h1, h2) of messages (mid, text): whole passages (kind
+    0) and the lines of those that have several (kind 1); first: where the passage begins; far:
+    long enough to be looked for in other conversations."""
     lines = messages.select("mid", F.posexplode(F.split("text", "\n")).alias("pos", "line")).withColumn("level", level("line"))
     lines = lines.withColumn("body", F.regexp_replace("line", MARKS, "")).withColumn("blank", F.trim("body") == "")
     order = Window.partitionBy("mid").orderBy("pos")
     start = F.coalesce(F.col("blank") | F.lag("blank").over(order) | (F.lag("level").over(order) != F.col("level")), F.lit(True))
     runs = lines.withColumn("run", F.sum(start.cast("int")).over(order)).where(~F.col("blank"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "body"))), lambda x: x["body"]), " ")
-    whole = runs.groupBy("mid", "run").agg(F.min("level").alias("level"), F.min("pos").alias("first"), text.alias("t")).withColumn("t", normalised(F.col("t")))
-    return whole.where(F.length("t") >= MIN_CHARS).select("mid", "level", "first", F.xxhash64("t").alias("h1"), F.xxhash64(F.lit("second"), "t").alias("h2"))
+    parts = F.array_sort(F.collect_list(F.struct("pos", "body")))
+    whole = runs.groupBy("mid", "run").agg(F.min("level").alias("level"), F.min("pos").alias("first"), parts.alias("parts"))
+    text = F.array_join(F.transform("parts", lambda x: x["body"]), " ")
+    line = F.transform("parts", lambda x: F.struct(F.lit(1).alias("kind"), x["pos"].alias("pos"), x["body"].alias("t")))
+    every = F.concat(F.array(F.struct(F.lit(0).alias("kind"), F.col("first").alias("pos"), text.alias("t"))), F.when(F.size("parts") > 1, line).otherwise(F.slice(line, 1, 0)))
+    units = whole.select("mid", "level", "first", F.inline(every)).withColumn("t", normalised(F.col("t")))
+    return units.select("mid", "level", "first", "kind", "pos", (F.length("t") >= MIN_CHARS).alias("far"), F.xxhash64("t").alias("h1"), F.xxhash64(F.lit("second"), "t").alias("h2"))
 
 
 def links(messages: DataFrame) -> DataFrame:
     """(mid, to_c, to_t): the message that each quoting message answers."""
     found = C.cut(passages(messages))
     place = messages.select("mid", "c", "t")
-    own = found.where("level = 0").select("mid", "h1", "h2").distinct().join(place, "mid")
-    first = own.groupBy("h1", "h2").agg(F.min(F.struct("c", "t")).alias("any"))
+    own = found.where("level = 0").select("mid", "h1", "h2", "far").distinct().join(place, "mid")
+    first = own.where("far").groupBy("h1", "h2").agg(F.min(F.struct("c", "t")).alias("any"))
     first_here = own.groupBy("c", "h1", "h2").agg(F.min("t").alias("here"))
     quoted = found.where("level > 0").join(place, "mid")
     met = quoted.join(first_here, ["c", "h1", "h2"], "left").join(first, ["h1", "h2"], "left")
     here = F.when(F.col("here") < F.col("t"), F.struct(F.col("c").alias("c"), F.col("here").alias("t")))
     there = F.when(F.col("any.c") < F.col("c"), F.col("any"))
     met = met.withColumn("to", F.coalesce(here, there)).where(F.col("to").isNotNull())
-    best = met.groupBy("mid").agg(F.min(F.struct("level", "first", "to")).alias("x"))
+    best = met.groupBy("mid").agg(F.min(F.struct("level", "first", "kind", "pos", "to")).alias("x"))
     return best.select("mid", F.col("x.to.c").alias("to_c"), F.col("x.to.t").alias("to_t"))
 
 
@@ -158,16 +166,20 @@ WITH RECURSIVE m AS (
   FROM lines WINDOW w AS (PARTITION BY conv_id, t ORDER BY pos)
 ), runs AS (SELECT *, sum(CAST(new AS INTEGER)) OVER (PARTITION BY conv_id, t ORDER BY pos) AS run FROM starts),
 passages AS (
-  SELECT conv_id, t, min(level) AS level, min(pos) AS first, lower(trim(regexp_replace(string_agg(body, ' ' ORDER BY pos), '\s+', ' ', 'g'))) AS p
-  FROM runs WHERE NOT blank GROUP BY conv_id, t, run
-), own AS (SELECT DISTINCT conv_id, t, p FROM passages WHERE level = 0 AND length(p) >= 12),
+  SELECT conv_id, t, run, min(level) AS level, min(pos) AS first, count(*) AS n, string_agg(body, ' ' ORDER BY pos) AS p FROM runs WHERE NOT blank GROUP BY conv_id, t, run
+), units AS (
+  SELECT conv_id, t, level, first, kind, pos, lower(trim(regexp_replace(p, '\s+', ' ', 'g'))) AS p FROM (
+    SELECT conv_id, t, level, first, 0 AS kind, first AS pos, p FROM passages
+    UNION ALL
+    SELECT r.conv_id, r.t, p.level, p.first, 1, r.pos, r.body FROM runs r JOIN passages p ON p.conv_id = r.conv_id AND p.t = r.t AND p.run = r.run WHERE NOT r.blank AND p.n > 1)
+), own AS (SELECT DISTINCT conv_id, t, p FROM units WHERE level = 0),
 met AS (
-  SELECT q.conv_id, q.t, q.level, q.first, o.conv_id AS to_c, o.t AS to_t,
-    row_number() OVER (PARTITION BY q.conv_id, q.t, q.first ORDER BY o.conv_id <> q.conv_id, o.conv_id, o.t) AS k
-  FROM passages q JOIN own o ON o.p = q.p AND ((o.conv_id = q.conv_id AND o.t < q.t) OR o.conv_id < q.conv_id)
-  WHERE q.level > 0 AND length(q.p) >= 12
+  SELECT q.conv_id, q.t, q.level, q.first, q.kind, q.pos, o.conv_id AS to_c, o.t AS to_t,
+    row_number() OVER (PARTITION BY q.conv_id, q.t, q.first, q.kind, q.pos ORDER BY o.conv_id <> q.conv_id, o.conv_id, o.t) AS k
+  FROM units q JOIN own o ON o.p = q.p AND ((o.conv_id = q.conv_id AND o.t < q.t) OR (o.conv_id < q.conv_id AND length(q.p) >= 12))
+  WHERE q.level > 0
 ), links AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, t ORDER BY level, first) AS r FROM met WHERE k = 1) WHERE r = 1
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, t ORDER BY level, first, kind, pos) AS r FROM met WHERE k = 1) WHERE r = 1
 ), parents AS (
   SELECT m.conv_id, m.t, links.to_t IS NOT NULL AS linked,
     CASE WHEN links.to_t IS NOT NULL THEN links.to_c WHEN lag(m.t) OVER w IS NOT NULL THEN m.conv_id END AS up_c,
