@@ -8,7 +8,9 @@ spans many partitions shows up, are settled through a table of two summaries a
 partition at most. What comes back to the documents is a compressed bitmap of
 the lines each keeps, never text.
 
-A null text is one empty line, as an empty text is. Rows that share a doc_id
+A null text is one empty line, as an empty text is. Long texts have as many lines as
+others have, each by itself. Of documents that hold a line the one of largest id keeps all
+its occurrences, so ids that tie keep it together. An empty table gives no rows. Rows that share a doc_id
 count as one document; a null doc_id counts as one document smaller than all
 others. Extra columns pass through `dedup_lines` untouched.
 """

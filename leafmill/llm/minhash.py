@@ -12,7 +12,9 @@ blocks of bounded size, one task for two blocks, which give back links alone.
 A pair is linked if the full sets say so. Components come from contraction.
 
 Null, empty and wordless texts have empty sets, link with nothing and are their
-own component. Rows that share a doc_id take part each; component ids are doc
+own component. Long texts are hashed piece by piece and compared by their whole sets. An
+empty table gives no rows. Of a group the least doc_id stands for it; of rows that share
+that id the one of least hash of the text stays. Rows that share a doc_id take part each; component ids are doc
 ids. A null doc_id never names a component that holds another id. Extra columns
 pass through `keep_first`.
 """
@@ -195,7 +197,7 @@ def across(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): links between nodes (node, root, n, sig) of different roots that share a
     key, whatever the sizes of the buckets: large ones are compared block by block."""
     halves = nodes.select("node", "n", F.posexplode(F.slice("sig", 1, PARTS)).alias("i", "half"))
-    sizes = halves.groupBy("i", "half").agg(F.count("*").alias("m"), F.sum("n").alias("words")).where("m > 1")
+    sizes = C.cut(halves.groupBy("i", "half").agg(F.count("*").alias("m"), F.sum("n").alias("words")).where("m > 1"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("words") / BLOCK_SHINGLES)).cast("int")
     placed = halves.drop("n").join(sizes.select("i", "half", blocks.alias("blocks")), ["i", "half"])
     placed = placed.withColumn("block", F.pmod(F.xxhash64("node", "i"), F.col("blocks").cast("long")).cast("int"))
@@ -214,11 +216,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     classes = C.cut(classes.withColumn("node", F.monotonically_increasing_id()))
     # Keys whose first half is alone cannot be shared: leave those out before pairing halves.
     halves = classes.select("node", F.posexplode(F.slice("sig", 1, PARTS)).alias("i", "half"))
-    shared = halves.groupBy("i", "half").agg(F.count("*").alias("m")).where("m > 1").drop("m")
+    # What is joined to a table by its own keys is written first: a join of two plain shuffles can
+    # split a key that holds much of the data, one right behind an aggregation cannot.
+    shared = C.cut(halves.groupBy("i", "half").agg(F.count("*").alias("m")).where("m > 1").drop("m"))
     alive = halves.join(shared, ["i", "half"]).join(classes.select("node", "n", F.slice("sig", PARTS + 1, PARTS).alias("other")), "node")
     keyed = alive.select("node", "n", "i", "half", F.posexplode("other").alias("j", "second")).select(F.xxhash64("i", "j", "half", "second").alias("key"), "node", "n")
     keyed = C.cut(keyed)
-    hubs = keyed.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("m")).where("m > 1").drop("m")
+    hubs = C.cut(keyed.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("m")).where("m > 1").drop("m"))
     members = C.cut(keyed.join(hubs, "key"))
     close = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))  # noqa: E731  sizes that allow a link
     size = classes.select(F.col("node").alias("a"), F.col("n").alias("n_a"))
@@ -235,7 +239,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     roots = components(links)
     # Classes of buckets that still hold several components: compare across them in blocks.
     placed = members.select("key", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
+    mixed = C.cut(placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key"))
     open_ = C.cut(placed.join(mixed, "key").select("node", "root").distinct())
     more = C.cut(across(open_.join(classes.select("node", "n", "sig"), "node"), sets, percent))
     if not more.isEmpty():
