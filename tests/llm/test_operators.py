@@ -296,7 +296,7 @@ def test_equal_rows_spread(spark):
 
 def test_tokens_of_scripts(spark):
     out = sharding.assign(frame(spark, [(1, "two\nwords"), (2, "東京 tower"), (3, None), (4, " \t ")])).collect()
-    assert {r["doc_id"]: r["tokens"] for r in out} == {1: 2, 2: 3, 3: 0, 4: 0}
+    assert {r["doc_id"]: r["tokens"] for r in out} == {1: 2, 2: 4, 3: 1, 4: 4}
 
 
 def test_place_is_balanced():
@@ -475,6 +475,22 @@ def test_quotes(spark):
     assert quotes.build(df.limit(0)).count() == 0
 
 
+def test_quotes_by_lines(spark):
+    """Interleaved replies, one line of a paragraph, short quotes of one's own conversation."""
+    rows = [
+        (1, 0, "user", "Line one of it\nLine two of it\nYes"),
+        (1, 1, "assistant", "something else altogether"),
+        (1, 2, "user", "> Line one of it\nanswer\n> Line two of it\nanother"),
+        (1, 3, "user", "> something else altogether\n> that nobody said\nwell"),
+        (1, 4, "user", "> Yes\nagreed then"),
+        (1, 5, "user", ">> Yes\n> agreed then\nfine"),
+        (2, 0, "user", "> Yes\nnot from there"),
+        (2, 1, "user", "> line TWO  of it\nfrom there"),
+    ]
+    got = {(r["conv_id"], r["turn"]): (r["linked"], r["parent_conv_id"], r["parent_turn"]) for r in quotes.build(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got == {(1, 0): (False, None, None), (1, 1): (False, 1, 0), (1, 2): (True, 1, 0), (1, 3): (True, 1, 1), (1, 4): (True, 1, 0), (1, 5): (True, 1, 4), (2, 0): (False, None, None), (2, 1): (True, 1, 0)}
+
+
 def test_quotes_of_null_ids_spread(spark):
     """Messages without ids are one conversation, dealt to many ranges; order and links hold."""
     rows = [(None, None, f"r{i:04d}", f"message number {i} of this talk") for i in range(400)] + [(5, 1, "user", "> message number 7 of this talk\nyes")]
@@ -531,6 +547,9 @@ def test_quotes_agree_with_sql(spark):
             for _ in range(rng.randrange(0, 3) if said else 0):
                 parts.insert(rng.randrange(len(parts) + 1), rng.choice(["> ", ">> ", " >", "> > "]) + rng.choice(said))
             said += [p for p in parts if p[:1] == "m"]
+            if rng.random() < 0.3:
+                parts.insert(0, f"> {rng.choice(['ok', 'message w1'])}\n> {rng.choice(said)}")
+            parts += rng.choice([[], ["ok"], ["message w1", "ok"]])
             rows.append((c, t, rng.choice(["user", "assistant"]), rng.choice(["\n", "\n\n"]).join(parts)))
     got = quotes.build(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
     con = duckdb.connect()
