@@ -4,23 +4,26 @@ A full suffix array takes eight bytes a byte of text; this index is sparse. Of t
 N - K + 1 grams of K bytes in an N-byte string the leftmost one of least hash is the
 string's anchor, so equal strings have anchors at equal places, and consecutive
 starts with one anchor make a segment (about 85 starts). A segment stands in the
-index as the suffix at its anchor: first the hash of the anchor's gram (`fp`), then
-that of the bytes which its starts' strings cover, with its bounds (`ctx`).
-
-The family: each batch of documents becomes a run sorted by (fp, ctx), counts
-combined before the shuffle. A new run is merge-scanned (a sort-merge join of
-per-gram summaries, unique on both sides) against every level for grams that
-occur on both, and levels of equal rank merge into one of the next, so each entry
-is rewritten a logarithmic number of times.
-
-Segments whose (fp, ctx) repeats are wholly repeated. Segments whose gram repeats
-but whose bytes differ somewhere (those at the ends of repeats) are settled by the
-hashes of every N-byte string they cover: one representative of each class, gram by
-gram, and grams with more than GROUP classes in parts whose distinct strings then
-meet by hash. Two 64-bit hashes together stand for equal bytes.
-
-Null texts are empty. Texts under N bytes lose nothing and match nothing. Rows that
-repeat are documents of their own, so they remove each other. Extra columns pass.
+index as the suffix at its anchor: first the K bytes there (`head`), then a hash of all
+bytes that its starts' strings cover, with its bounds (`ctx`).
+
+The family: each batch of documents becomes a run of suffixes in the order of their
+bytes, equal ones counted before the shuffle. A new run is merge-scanned (a sort-merge
+join) against every level for suffixes that begin with the same K bytes, and levels of
+equal rank merge into one of the next, so each entry is rewritten a logarithmic number
+of times. What merged is deleted.
+
+Segments whose (head, ctx) repeats are wholly repeated. Segments whose head repeats
+but whose bytes differ somewhere (those at the ends of repeats) are settled by two
+independent hashes of every N-byte string they cover: one representative of each class,
+head by head, and heads with more than GROUP classes in parts whose distinct strings
+then meet by their hashes. Heads that many classes share travel in joins of two plain
+tables, which can be split.
+
+Null texts are empty. Texts under N bytes lose nothing and match nothing. Long texts are
+scanned in pieces that overlap. Rows that repeat are documents of their own, so they
+remove each other; there are no ties, as no copy is kept. An empty table gives no rows.
+Extra columns pass.
 """
 
 from __future__ import annotations
@@ -38,7 +41,8 @@ from leafmill.llm import _words as W
 LENGTH, GRAM = 200, 32
 #: Texts are scanned in pieces of so many starts; the low bits of a packed minimum hold the place.
 PIECE, PLACE = 1 << 18, 20
-BATCHES = 2
+#: Batches that a table is added in; a caller with batches of its own adds those to the family.
+BATCHES = 4
 #: Classes of one gram that one task settles together (about 5 MB of text).
 GROUP = 16_384
 #: Bits of the filter that tells which segments travel on; fixed, 2 MB.
@@ -56,13 +60,23 @@ def rolling_min(x: np.ndarray, w: int) -> np.ndarray:
     return out
 
 
-def byte_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def byte_sums(data: np.ndarray, other: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums from which every substring's hash follows; other: an independent hash."""
     up, inverse = W.powers(len(data) + 1)
+    codes = W.byte_codes(False)
+    if other:
+        codes = W.mix(codes ^ U(0x9E6C63D0876A9A47))
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(W.byte_codes(False)[data] * up[: len(data)], out=sums[1:])
+    np.cumsum(codes[data] * up[: len(data)], out=sums[1:])
     return sums, inverse
 
 
+def binaries(data: np.ndarray, size: int) -> pa.Array:
+    """Values of equal size that lie one after another."""
+    n = len(data) // size
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * size), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 def segments(data: np.ndarray, ends: np.ndarray, length: int, gram: int):
     """Segments of texts that lie one after another in data, ends[i] being where text i
     ends and ends[-1] == len(data): text, first start, anchor, last start, fp, ctx."""
@@ -105,23 +119,35 @@ def pieces(data: np.ndarray, off: np.ndarray, length: int) -> Iterator[tuple[int
 
 
 def _keys(length: int, gram: int):
-    """Texts to the (fp, ctx, n) of their segments, combined a batch at a time."""
+    """Texts to the (head, ctx) of their segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in C.small(batches):
             data, off = C.raw_bytes(b.column("text"))
-            fps, ctxs = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
             for _, part, ends, _ in pieces(data, off, length):
-                *_, fp, ctx = segments(part, ends, length, gram)
-                fps.append(fp)
-                ctxs.append(ctx)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (fps, ctxs)], names=["fp", "ctx"])
+                _, _, a, _, _, ctx = segments(part, ends, length, gram)
+                heads = part[a[:, None] + np.arange(gram)].ravel()
+                yield pa.RecordBatch.from_arrays([binaries(heads, gram), pa.array(ctx.view(np.int64))], names=["head", "ctx"])
+
+    return run
+
+
+def _hashed(gram: int):
+    """Adds fp: the hash of head by which texts are told if they may hold it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, _ = C.raw_bytes(b.column("head"))
+            sums, inverse = byte_sums(data)
+            at = np.arange(b.num_rows) * gram
+            fp = W.mix((sums[at + gram] - sums[at]) * inverse[at])
+            yield pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), *(b.column(c) for c in ("ctx", "n", "kinds"))], names=["fp", "ctx", "n", "kinds"])
 
     return run
 
 
 class SuffixFamily:
-    """Levels of sorted runs (fp, ctx, n), and the grams found to repeat so far."""
+    """Levels of sorted runs (head, ctx, n), and the heads found to repeat so far."""
 
     def __init__(self, length: int = LENGTH, gram: int = GRAM):
         self.length, self.gram = length, gram
@@ -129,40 +155,46 @@ class SuffixFamily:
         self.matches: DataFrame | None = None
 
     def _run(self, rows: DataFrame) -> DataFrame:
-        return C.cut(rows.groupBy("fp", "ctx").agg(F.sum("n").alias("n")).sortWithinPartitions("fp", "ctx"))
-
-    @staticmethod
-    def _grams(run: DataFrame) -> DataFrame:
-        return run.groupBy("fp").agg(F.sum("n").alias("n"))
+        return C.cut(rows.groupBy("head", "ctx").agg(F.sum("n").alias("n")).sortWithinPartitions("head", "ctx"))
 
     def add(self, texts: DataFrame) -> None:
         """Index a batch (text), and scan it against itself and every level."""
-        keys = texts.mapInArrow(_keys(self.length, self.gram), "fp long, ctx long").withColumn("n", F.lit(1).cast("long"))
+        keys = texts.mapInArrow(_keys(self.length, self.gram), "head binary, ctx long").withColumn("n", F.lit(1).cast("long"))
         run = self._run(keys)
-        own = self._grams(run)
-        found = [own.where("n > 1").select("fp")]
-        for _, level in self.levels:
-            found.append(own.join(self._grams(level).select("fp"), "fp").select("fp"))
+        found = [run.groupBy("head").agg(F.sum("n").alias("n")).where("n > 1").select("head")]
+        found += [run.select("head").join(level.select("head"), "head", "left_semi") for _, level in self.levels]
+        if self.matches is not None:
+            found.append(self.matches)
         new = found[0]
         for x in found[1:]:
             new = new.unionByName(x)
-        new = new if self.matches is None else self.matches.unionByName(new)
-        self.matches = C.cut(new.distinct())
+        before, self.matches = self.matches, C.cut(new.distinct())
+        if before is not None:
+            C.drop(before)
         rank = 0
         while self.levels and self.levels[-1][0] == rank:
             _, other = self.levels.pop()
-            run, rank = self._run(run.unionByName(other)), rank + 1
+            merged = self._run(run.unionByName(other))
+            C.drop(run)
+            C.drop(other)
+            run, rank = merged, rank + 1
         self.levels.append((rank, run))
 
     def repeated(self) -> DataFrame:
-        """(fp, ctx, n, kinds): entries of repeated grams; kinds: how many ctx the gram has."""
+        """(fp, ctx, n, kinds): entries of repeated heads; kinds: how many ctx the head has. The
+        family ends here: its tables are deleted."""
         every = self.levels[0][1]
         for _, level in self.levels[1:]:
             every = every.unionByName(level)
-        entries = every.groupBy("fp", "ctx").agg(F.sum("n").alias("n")) if len(self.levels) > 1 else every
-        entries = C.cut(entries.join(self.matches, "fp", "left_semi"))
-        kinds = entries.groupBy("fp").agg(F.count("*").alias("kinds"))
-        return C.cut(entries.join(kinds, "fp"))
+        every = every.groupBy("head", "ctx").agg(F.sum("n").alias("n")) if len(self.levels) > 1 else every
+        entries = C.cut(every.join(self.matches, "head", "left_semi"))
+        # Written first, so that the join of a head with many classes can be split.
+        kinds = C.cut(entries.groupBy("head").agg(F.count("*").alias("kinds")))
+        out = C.cut(entries.join(kinds, "head").select("head", "ctx", "n", "kinds").mapInArrow(_hashed(self.gram), "fp long, ctx long, n long, kinds long"))
+        for old in (entries, kinds, self.matches, *(level for _, level in self.levels)):
+            C.drop(old)
+        self.levels, self.matches = [], None
+        return out
 
 
 def gram_filter(repeated: DataFrame) -> np.ndarray:
@@ -206,8 +238,8 @@ def _entries(length: int, gram: int, sent):
 
 
 def _settle(length: int):
-    """Sorted classes (fp, part, parts, ctx, n, body) to rows (kind, fp, ctx, at, to, h): kind
-    0: starts at..to are repeated; kind 1: a string h of a gram in several parts, whose
+    """Sorted classes (fp, part, parts, ctx, n, body) to rows (kind, fp, ctx, at, to, h, g): kind
+    0: starts at..to are repeated; kind 1: a string of hashes h, g of a gram in several parts, whose
     class (ctx) waits to hear if it meets an equal one; kind 2: the same, but known to repeat."""
 
     def block(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -217,14 +249,19 @@ def _settle(length: int):
         sums, inverse = byte_sums(data)
         m = len(data) - length + 1
         h = W.mix((sums[length:] - sums[:-length]) * inverse[:m])
+        sums, _ = byte_sums(data, True)
+        g = W.mix((sums[length:] - sums[:-length]) * inverse[:m])
         begins = np.concatenate([[0], ends[:-1]])
         row = np.repeat(np.arange(len(rows)), np.diff(ends, prepend=0))[:m]
         valid = np.arange(m) + length <= ends[row]
-        at, row, h = np.flatnonzero(valid), row[valid], h[valid]
+        at, row, h, g = np.flatnonzero(valid), row[valid], h[valid], g[valid]
         own = h ^ W.mix(fp[row].view(np.uint64) + U(1))
         meet = own ^ W.mix(part[row].astype(np.uint64) + U(7))
-        _, where, count = np.unique(meet, return_inverse=True, return_counts=True)
-        many = (count[where] > 1) | (n[row] > 1)
+        order = np.lexsort((g, meet))
+        same = np.zeros(len(order) + 1, bool)
+        same[1:-1] = (meet[order][1:] == meet[order][:-1]) & (g[order][1:] == g[order][:-1])
+        many = n[row] > 1
+        many[order] |= same[1:] | same[:-1]
         start = at - begins[row]
         new = many.copy()
         new[1:] &= ~many[:-1] | (row[1:] != row[:-1])
@@ -234,13 +271,15 @@ def _settle(length: int):
         wide = parts[row] > 1
         lone = np.flatnonzero(wide & ~many)
         known = np.flatnonzero(wide & many)
-        known = known[np.unique(own[known], return_index=True)[1]]
+        first = np.lexsort((g[known], own[known]))
+        known = known[first]
+        known = known[np.concatenate([[True], (own[known][1:] != own[known][:-1]) | (g[known][1:] != g[known][:-1])])[: len(known)]]
         kinds = np.concatenate([np.zeros(len(i)), np.ones(len(lone)), np.full(len(known), 2)]).astype(np.int32)
         r = np.concatenate([row[i], row[lone], row[known]])
         a = np.concatenate([start[i], start[lone], start[known]])
         z = np.concatenate([start[j], start[lone], start[known]])
-        hs = np.concatenate([np.zeros(len(i), np.uint64), own[lone], own[known]])
-        yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(fp[r]), pa.array(ctx[r]), pa.array(a.astype(np.int32)), pa.array(z.astype(np.int32)), pa.array(hs.view(np.int64))], names=["kind", "fp", "ctx", "at", "to", "h"])
+        hs, gs = (np.concatenate([np.zeros(len(i), np.uint64), x[lone], x[known]]).view(np.int64) for x in (own, g))
+        yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(fp[r]), pa.array(ctx[r]), pa.array(a.astype(np.int32)), pa.array(z.astype(np.int32)), pa.array(hs), pa.array(gs)], names=["kind", "fp", "ctx", "at", "to", "h", "g"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -273,10 +312,10 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bat
     # One representative of each class of a gram that has several.
     classes = entries.where("kinds > 1").groupBy("fp", "ctx").agg(F.min(F.struct("n", "kinds", "body")).alias("x")).select("fp", "ctx", "x.n", "x.body", F.ceil(F.col("x.kinds") / group).cast("long").alias("parts"))
     classes = classes.withColumn("part", F.pmod(F.xxhash64("ctx"), "parts")).repartition("fp", "part").sortWithinPartitions("fp", "part")
-    settled = C.cut(classes.select("fp", "part", "parts", "ctx", "n", "body").mapInArrow(_settle(length), "kind int, fp long, ctx long, at int, to int, h long"))
+    settled = C.cut(classes.select("fp", "part", "parts", "ctx", "n", "body").mapInArrow(_settle(length), "kind int, fp long, ctx long, at int, to int, h long, g long"))
     strings = settled.where("kind > 0")
-    met = strings.groupBy("h").agg(F.count("*").alias("m"), F.max("kind").alias("k")).where("m > 1 OR k = 2").select("h")
-    late = settled.where("kind = 1").join(met, "h").select("fp", "ctx", "at", "to")
+    met = strings.groupBy("h", "g").agg(F.count("*").alias("m"), F.max("kind").alias("k")).where("m > 1 OR k = 2").select("h", "g")
+    late = settled.where("kind = 1").join(met, ["h", "g"]).select("fp", "ctx", "at", "to")
     ranges = settled.where("kind = 0").select("fp", "ctx", "at", "to").unionByName(late)
     edge = entries.where("n = 1 AND kinds > 1").select("fp", "ctx", "doc_id", "_key", "lo").join(ranges, ["fp", "ctx"]).select("doc_id", "_key", (F.col("lo") + F.col("at")).alias("lo"), (F.col("lo") + F.col("to")).alias("hi"))
     return whole.unionByName(edge).groupBy("doc_id", "_key").agg(F.collect_set(F.struct("lo", "hi")).alias("starts"))
