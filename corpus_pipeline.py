@@ -1,6 +1,12 @@
 """A corpus from documents to tokens: toxic documents go, repeated lines go, one
 document of each near-duplicate group stays, contaminated documents go, and what
-is left is encoded."""
+is left is encoded.
+
+Each stage takes (spark, docs, sf_dir), works on all rows that the one before it kept, and
+returns them with docs' columns, whatever those are called; the last returns the tokens. A
+null text counts as empty and a null doc_id as a document of its own; rows that share an id,
+or are equal altogether, are judged each, save where a stage says otherwise; an empty table
+stays empty. Texts of any length are taken whole."""
 
 from __future__ import annotations
 
@@ -15,12 +21,17 @@ NEAR_PERCENT = 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.5 or more go. The lexicon is learned from the labels of the training
+    folds; labels that are null, or of documents that are not there, teach nothing, and without
+    both kinds of labels all documents stay. Empty texts stay."""
     lexicon = toxicity.fit(docs, toxicity.training_rows(C.load(spark, sf_dir, "labels")))
     return toxicity.keep_clean(docs, lexicon)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """n_chars follows the text; a document that loses every line stays, empty."""
+    """Lines of 20 characters or more that three documents hold stay in the one of largest id.
+    n_chars follows the text; a document that loses every line stays, empty, and so does one
+    whose text was null, with the empty text."""
     names = docs.columns
     out = linededup.dedup_lines(docs).select("row.*", F.col("_kept").cast("string").alias("text"))
     if "n_chars" in names:
@@ -29,6 +40,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are linked, directly or over others, the one of least id stays, once even
+    if its row repeats. Texts without words have no copies and stay, also repeated ones."""
     return minhash.keep_first(docs, percent=NEAR_PERCENT)
 
 
@@ -40,6 +53,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, text_sha256) of every row; the digest is of the ids decoded again."""
     both = bpe.decode_documents(bpe.encode_documents(docs))
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("text_sha256"))
 
