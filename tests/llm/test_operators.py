@@ -518,6 +518,33 @@ def test_operator_results_feed_the_pipeline(spark, tmp_path, corpus):
     assert sorted((r["doc_id"], r["text_sha256"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == want
 
 
+def test_pipeline_takes_odd_tables(spark, tmp_path, corpus, none):
+    """Null labels, repeated rows, null ids and texts, ties, columns with clashing names, no rows."""
+    import corpus_pipeline
+
+    rng = random.Random(41)
+    item, line = words(rng, 25, 10**6), "the very same long line that many hold"
+    rows = [(i, f"{words(rng, 40, 10**6)}\n{line if i % 2 else words(rng, 9)}\n{words(rng, 30, 10**6)}") for i in range(12)]
+    rows += [(20, f"{words(rng, 900, 10**6)} {item} {words(rng, 900, 10**6)}"), (20, rows[0][1]), (21, rows[2][1]), (None, words(rng, 20)), (22, None), (22, None), (23, ""), (0, rows[0][1]), (0, rows[0][1])]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _key string, row int, toxic string, item string, h long"
+    docs = spark.createDataFrame([(i, t, None, None, len(t or ""), "a", 1, "b", "c", 5) for i, t in rows], schema)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item), (None, None), (1, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(0, None, None), (None, 1, 1), (3, 1, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, str(tmp_path))
+        assert kept.columns == docs.columns, name
+        empty = stage(spark, docs.limit(0), str(tmp_path))
+        assert empty.count() == 0 and empty.columns == docs.columns, name
+    ids = [r["doc_id"] for r in kept.collect()]
+    lines = {i: w[3] for i, w in brute.line_dedup([(0 if i is None else i, t) for i, t in rows]).items()}
+    assert sorted(i for i in ids if i is not None) == [*range(12), 22, 22, 23] and ids.count(None) == 1 and lines[11].count(line) == 1
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(str(r["doc_id"]) for r in out) == sorted(map(str, ids)) and all(4 * r["n_tokens"] == len(r["ids"]) for r in out)
+    assert corpus_pipeline.encode(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
 def test_pipeline_drops_near_duplicates_at_80_percent(spark):
     import corpus_pipeline
 
