@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from leafmill.operators import tikz
 from leafmill.operators.graphs import described, graph_markdown
+from leafmill.session import settled
 from leafmill.sources.models import answered
 
 # How a structure is fenced, by kind.
@@ -64,10 +65,10 @@ def describe(figures: DataFrame, model: Callable[[str], str], repair: Callable[[
     graph or diagram fails its checks are asked again, with what `repair` makes of their
     request and problems; the last answer stays either way."""
     keep = [c for c in figures.columns if c != "request"]
-    first = checked(answered(figures, model, **how)).persist()
+    first = checked(settled(answered(figures, model, **how)))
     poor = (F.size("flags") > 0) & F.col("info.kind").isin("graph", "commutative_diagram") & F.col("error_kind").isNull()
     again = first.where(poor).select(*keep, repair(F.col("request"), F.col("problems")).alias("request"))
-    second = checked(answered(again, model, **how)).withColumn("attempts", F.lit(2))
+    second = checked(settled(answered(again, model, **how))).withColumn("attempts", F.lit(2))
     out = first.where(~F.coalesce(poor, F.lit(False))).withColumn("attempts", F.lit(1)).unionByName(second)
     clean = F.size("problems") == 0
     return out.select(

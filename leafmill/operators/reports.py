@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.session import settled
+
 
 def tally(values: Column) -> Column:
     """How often each value of an array stands in it, as a map, keys in order."""
@@ -89,11 +91,10 @@ def drop_copies(files: DataFrame) -> DataFrame:
 def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     """Adds n, from 0 in order of all rows, without one task that holds them: rows are
     range-partitioned, and each partition starts where the counts before it end. The ranges
-    must be drawn once for both; they are checkpointed where the session names a folder for
-    it, else kept by the executors until the session ends."""
+    must be drawn once for both, so the rows are settled in between."""
     spread = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
     spread = spread.withColumns({"_part": F.shiftright("_id", 33), "_at": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_id")
-    spread = spread.checkpoint() if rows.sparkSession.conf.get("spark.checkpoint.dir", None) else spread.persist()
+    spread = settled(spread)
     counts = spread.groupBy("_part").agg(F.count("*").alias("_n"))  # a row a partition
     start = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return spread.join(F.broadcast(counts.select("_part", start.alias("_start"))), "_part").withColumn("n", F.col("_start") + F.col("_at")).drop("_part", "_at", "_start")

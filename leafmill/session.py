@@ -22,3 +22,10 @@ def spread(df: DataFrame) -> DataFrame:
     without a shuffle."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df computed once, for plans that read it more than once and must get the same rows: what a
+    model said, what range a row fell in. Written under the session's checkpoint folder, which
+    outlives executors; where none is named (as in tests) kept by the executors."""
+    return df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df.persist()

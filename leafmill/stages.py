@@ -24,7 +24,7 @@ from leafmill.operators.blocks import best_attempt, reading_loss
 from leafmill.operators.prompts import review_prompt, with_image
 from leafmill.operators.readers import reader
 from leafmill.operators.review import Policy, recheck, reviewed, wanted
-from leafmill.session import ship
+from leafmill.session import settled, ship
 from leafmill.sources import files, images, models
 
 #: Exit codes: done, wrong use, a server or the system failed, stopped and to be run again.
@@ -128,7 +128,7 @@ class Work:
         """Work lists of about `round` pages each, by a hash of the page, taken down first."""
         count = max(1, -(-todo.count() // self.round))
         listed = todo.select("doc_id", "page").withColumn("_round", F.pmod(F.xxhash64("doc_id", "page"), F.lit(count)))
-        listed = listed.checkpoint() if self.spark.conf.get("spark.checkpoint.dir", None) else listed.persist()
+        listed = settled(listed)
         for k in range(count):
             self.check()
             yield listed.where(F.col("_round") == k).drop("_round")
@@ -142,8 +142,9 @@ class Work:
             pages = pages.withColumn("request", with_image(F.lit(prompt), F.col("png"))).drop("png")
             left, every, told = pages, None, None
             for attempt in range(retries + 1):
-                got = models.answered(left, model, stop=self.stop, **how).withColumns({"attempt": F.lit(attempt), "text": F.col("reply")}).drop("request").persist()
-                blocks = _blocks(reader(name), got.where("reply IS NOT NULL"), tag).persist()
+                got = models.answered(left, model, stop=self.stop, **how).withColumns({"attempt": F.lit(attempt), "text": F.col("reply")}).drop("request")
+                got = settled(got)
+                blocks = _blocks(reader(name), got.where("reply IS NOT NULL"), tag)
                 loss = reading_loss(blocks, ["doc_id", "page", "attempt"])
                 empty = got.where("reply IS NOT NULL").select("doc_id", "page", "attempt").join(loss, ["doc_id", "page", "attempt"], "left_anti")
                 loss = loss.unionByName(empty.select("*", F.lit(0.0).alias("lost"), F.lit(0).cast("long").alias("repeated"), F.lit(0).cast("long").alias("kept_chars")))
@@ -179,7 +180,7 @@ class Work:
             page = self.latest("pages", ["doc_id", "page"]).select("doc_id", "page", "png", "width", "height")
             asked = images.cuttings(ask.join(page, ["doc_id", "page"], "left")).drop("png", "width", "height")
             asked = asked.withColumn("request", with_image(review_prompt(F.col("type"), F.col("content"), F.col("flags")), F.col("cut"))).drop("cut")
-            got = models.answered(asked, model, stop=self.stop, **how).drop("request").persist()
+            got = settled(models.answered(asked, model, stop=self.stop, **how).drop("request"))
             waits = got.where("error_kind IN ('unavailable', 'stopped')").select("doc_id", "page").distinct()
             out = reviewed(got.where("error_kind IS NULL OR error_kind IN ('rejected', 'error')").drop("reviewed", "decision", "previous"), source, policy)
             rest = blocks.join(got.select("doc_id", "page", "block_no"), ["doc_id", "page", "block_no"], "left_anti")
