@@ -51,9 +51,9 @@ def review_prompt(block_type: Column, content: Column, flags: Column) -> Column:
     return F.when(draft != "", proof).otherwise(read)
 
 
-def with_image(prompt: Column, image: Column) -> Column:
+def with_image(prompt: Column, image: Column, *more: Column) -> Column:
     """SNK-09: a request of an image and a text, as JSON for a chat endpoint; the text alone where
-    there is no image."""
+    there is no image. more: other fields of the request, null ones left out."""
     picture = F.struct(F.lit("image_url").alias("type"), F.struct(data_url(image).alias("url")).alias("image_url"), F.lit(None).cast("string").alias("text"))
     said = F.struct(F.lit("text").alias("type"), F.lit(None).cast("struct<url:string>").alias("image_url"), prompt.alias("text"))
-    return F.to_json(F.struct(F.when(image.isNotNull(), F.array(picture, said)).otherwise(F.array(said)).alias("content")))
+    return F.to_json(F.struct(F.when(image.isNotNull(), F.array(picture, said)).otherwise(F.array(said)).alias("content"), *more))

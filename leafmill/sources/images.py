@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from leafmill.functions.text import crop_box, document_id, page_name
 from leafmill.operators.figures import crop_name
@@ -343,6 +344,21 @@ def cuttings(rows: DataFrame, pad: float = 0.01, turn: str | None = None) -> Dat
     return rows.withColumn("cut", cut("png", at, F.col(turn).cast("int") if turn else F.lit(None).cast("int")))
 
 
+@F.pandas_udf(BinaryType())
+def sized(page: pd.Series, width: pd.Series, height: pd.Series, degrees: pd.Series) -> pd.Series:
+    """A page at another size, then turned, as PNG."""
+
+    def one(raw, w, h, d):
+        if raw is None:
+            return None
+        rgb = to_rgb(read_png(raw))
+        if pd.notna(w) and (rgb.shape[1], rgb.shape[0]) != (w, h):
+            rgb = resampled(rgb, int(w), int(h))
+        return png(turned(rgb, None if pd.isna(d) else int(d)))
+
+    return pd.Series([one(*x) for x in zip(page, width, height, degrees, strict=True)], dtype=object)
+
+
 def figure_cuttings(blocks: DataFrame, pages: DataFrame) -> DataFrame:
     """SNK-05: figures with a box, with image (the name their picture gets), alt and cut."""
     figures = blocks.where("type = 'figure' AND bbox IS NOT NULL").join(pages.select("doc_id", "page", "png", "width", "height"), ["doc_id", "page"])

@@ -22,15 +22,16 @@ from leafmill.operators import reports as R
 from leafmill.operators.assembly import assemble
 from leafmill.operators.blocks import best_attempt, reading_loss
 from leafmill.operators.prompts import review_prompt, with_image
-from leafmill.operators.readers import reader
+from leafmill.operators.readers import TURNS, asks_turn, decoding, page_size, reader
 from leafmill.operators.review import Policy, recheck, reviewed, wanted
+from leafmill.schema import HISTORY
 from leafmill.session import settled, ship
 from leafmill.sources import files, images, models
 
 #: Exit codes: done, wrong use, a server or the system failed, stopped and to be run again.
 DONE, USAGE, FAILED, STOPPED = 0, 2, 3, 85
 
-BLOCKS = "array<struct<block_no:int,type:string,content:string,bbox:array<double>,source:string,flags:array<string>,level:int,json_repaired:boolean,repeated:int,truncated_tail:boolean,reviewed:string,decision:string,previous:string>>"
+BLOCKS = "array<struct<block_no:int,type:string,content:string,bbox:array<double>,source:string,flags:array<string>,level:int,json_repaired:boolean,repeated:int,truncated_tail:boolean,tail_recovered:boolean,rotation:int,reviewed:string,decision:string,previous:string,history:array<struct<source:string,verdict:string,decision:string,proposal:string,previous:string,previous_source:string>>>>"
 SCHEMAS = {
     "manifest": "doc_id string, source string, sha256 string, n_pages long, run long",
     "pages": images.PAGES + ", run long",
@@ -39,7 +40,7 @@ SCHEMAS = {
     "review": f"doc_id string, page int, reader string, failed boolean, error string, blocks {BLOCKS}, run long",
     "documents": "doc_id string, failed_pages long, run long",
 }
-_FIELDS = [x.split(":")[0] for x in "block_no:int type:string content:string bbox:x source:x flags:x level:x json_repaired:x repeated:x truncated_tail:x reviewed:x decision:x previous:x".split()]
+_FIELDS = [x.split(":")[0] for x in "block_no:int type:string content:string bbox:x source:x flags:x level:x json_repaired:x repeated:x truncated_tail:x tail_recovered:x rotation:x reviewed:x decision:x previous:x history:x".split()]
 
 
 class Stopped(Exception):
@@ -139,11 +140,11 @@ class Work:
         down, tag = 0, reader_tag(F.lit(name), F.lit(model_name))
         for todo in self.rounds(self.to_read(force, retry_failed)):
             pages = self.latest("pages", ["doc_id", "page"]).join(todo, ["doc_id", "page"]).select("doc_id", "page", "width", "height", "png")
-            pages = pages.withColumn("request", with_image(F.lit(prompt), F.col("png"))).drop("png")
+            size = page_size(name, F.col("width"), F.col("height"))
+            pages = pages.withColumn("_s", size).select("doc_id", "page", "png", F.col("_s.w").alias("width"), F.col("_s.h").alias("height"))
             left, every, told = pages, None, None
             for attempt in range(retries + 1):
-                got = models.answered(left, model, stop=self.stop, **how).withColumns({"attempt": F.lit(attempt), "text": F.col("reply")}).drop("request")
-                got = settled(got)
+                got = self.asked(left, model, name, prompt, attempt, **how)
                 blocks = _blocks(reader(name), got.where("reply IS NOT NULL"), tag)
                 loss = reading_loss(blocks, ["doc_id", "page", "attempt"])
                 empty = got.where("reply IS NOT NULL").select("doc_id", "page", "attempt").join(loss, ["doc_id", "page", "attempt"], "left_anti")
@@ -168,6 +169,26 @@ class Work:
         if down:
             raise ServerDown(f"{down} page(s) not read")
 
+    def asked(self, pages: DataFrame, model: Callable[[str], str], name: str, prompt: str, attempt: int, **how) -> DataFrame:
+        """One reading of pages (doc_id, page, png, width, height): with reply, error_kind, error,
+        attempt, text and rotation. A page that a reader says is turned is shown as it asks, a few
+        times; each is a further attempt to the sampler."""
+        todo, out = pages.withColumn("rotation", F.lit(0)), None
+        for k in range(TURNS + 1):
+            how_ = decoding(name, F.lit(attempt + k))
+            shown = images.sized("png", "width", "height", F.when(F.col("rotation") > 0, F.col("rotation")))
+            request = with_image(F.lit(prompt), shown, how_["temperature"].alias("temperature"), how_["top_p"].alias("top_p"))
+            ready = todo.select("doc_id", "page", "width", "height", "rotation", request.alias("request"))
+            got = settled(models.answered(ready, model, stop=self.stop, **how).drop("request").withColumn("_turn", asks_turn(name, F.col("reply"))))
+            again = (F.col("_turn") > 0) & F.lit(k < TURNS)
+            done = got.where(~again)
+            out = done if out is None else out.unionByName(done)
+            turns = got.where(again).select("doc_id", "page", F.pmod(F.col("rotation") + F.col("_turn"), F.lit(360)).alias("rotation"))
+            if turns.isEmpty():
+                break
+            todo = pages.join(turns, ["doc_id", "page"])
+        return out.drop("_turn").withColumns({"attempt": F.lit(attempt), "text": F.col("reply")})
+
     def review(self, model: Callable[[str], str], model_name: str = "model", policy: Policy = Policy(), force: bool = False, **how) -> None:
         """REV-12, REV-14: the blocks that policy wants go to the reviewer; a page is saved once
         none of its blocks waits for a server."""
@@ -178,11 +199,11 @@ class Work:
             blocks = blocks.withColumn("flags", recheck(F.col("flags"), F.col("type"), F.col("content")))
             ask = wanted(blocks, policy)
             page = self.latest("pages", ["doc_id", "page"]).select("doc_id", "page", "png", "width", "height")
-            asked = images.cuttings(ask.join(page, ["doc_id", "page"], "left")).drop("png", "width", "height")
+            asked = images.cuttings(ask.join(page, ["doc_id", "page"], "left"), turn="rotation").drop("png", "width", "height")
             asked = asked.withColumn("request", with_image(review_prompt(F.col("type"), F.col("content"), F.col("flags")), F.col("cut"))).drop("cut")
             got = settled(models.answered(asked, model, stop=self.stop, **how).drop("request"))
             waits = got.where("error_kind IN ('unavailable', 'stopped')").select("doc_id", "page").distinct()
-            out = reviewed(got.where("error_kind IS NULL OR error_kind IN ('rejected', 'error')").drop("reviewed", "decision", "previous"), source, policy)
+            out = reviewed(got.where("error_kind IS NULL OR error_kind IN ('rejected', 'error')").drop("reviewed", "decision", "previous", "tail_recovered"), source, policy)
             rest = blocks.join(got.select("doc_id", "page", "block_no"), ["doc_id", "page", "block_no"], "left_anti")
             every = rest.select("doc_id", "page", *_FIELDS).unionByName(out.select("doc_id", "page", *_FIELDS)).join(waits, ["doc_id", "page"], "left_anti")
             pages = every.groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(F.struct(*_FIELDS))).cast(BLOCKS).alias("blocks"))
@@ -208,9 +229,14 @@ class Work:
         text = assemble(blocks, marks)
         shown = R.report(blocks.where("type IS NOT NULL").select("doc_id", "page", "block_no", "type", "flags"))
         seen = pages.groupBy("doc_id").agg(F.array_sort(F.collect_set("reader")).alias("readers"), F.count_if(F.col("stage") == "review").alias("reviewed_pages"), F.array_sort(F.collect_list(F.when(F.col("failed"), F.col("page") + 1))).alias("failed_pages"))
+        lost = blocks.groupBy("doc_id").agg(
+            F.array_sort(F.collect_set(F.when(F.col("tail") & (F.trim(F.coalesce("content", F.lit(""))) == ""), F.col("page") + 1))).alias("truncated_pages"),
+            F.array_sort(F.collect_set(F.when(F.col("tail_recovered"), F.col("page") + 1))).alias("truncated_recovered"),
+            F.count_if(F.col("reviewed") == "error").alias("review_errors"),
+        )
         decided = blocks.where("reviewed IS NOT NULL").groupBy("doc_id").agg(F.collect_list("reviewed").alias("r")).select("doc_id", R.tally(F.col("r")).alias("review"))
-        fields = ["doc_id", "source", "n_pages", "readers", "reviewed_pages", "failed_pages", "block_types", "review", "open_flags", "flagged_blocks"]
-        told = full.join(seen, "doc_id").join(shown.drop("n_pages"), "doc_id", "left").join(decided, "doc_id", "left")
+        fields = ["doc_id", "source", "n_pages", "readers", "work", "reviewed_pages", "failed_pages", "truncated_pages", "truncated_recovered", "review_errors", "block_types", "review", "open_flags", "flagged_blocks"]
+        told = full.join(seen, "doc_id").join(shown.drop("n_pages"), "doc_id", "left").join(decided, "doc_id", "left").join(lost, "doc_id", "left").withColumn("work", F.lit(self.root))
         rows = text.join(told, "doc_id").select("doc_id", "markdown", F.to_json(F.struct(*fields)).alias("report"))
         files.save_files(rows, out)
         self.append("documents", told.select("doc_id", F.size("failed_pages").cast("long").alias("failed_pages")))
@@ -246,8 +272,10 @@ def _blocks(read: Callable[[DataFrame], DataFrame], replies: DataFrame, tag: Col
     where = F.from_json("doc_id", "doc_id string, page int, attempt int")
     out = rows.select(
         where["doc_id"].alias("doc_id"), where["page"].alias("page"), where["attempt"].alias("attempt"), "block_no", "type", "content", have("bbox", "array<double>"), tag.alias("source"), have("level", "int"),
-        have("json_repaired", "boolean"), have("repeated", "int"), have("truncated_tail", "boolean"), F.lit(None).cast("string").alias("reviewed"), F.lit(None).cast("string").alias("decision"), F.lit(None).cast("string").alias("previous"),
+        have("json_repaired", "boolean"), have("repeated", "int"), have("truncated_tail", "boolean"), F.lit(False).alias("tail_recovered"), F.lit(None).cast("string").alias("reviewed"), F.lit(None).cast("string").alias("decision"), F.lit(None).cast("string").alias("previous"), F.lit(None).cast(HISTORY).alias("history"),
     )
+    turns = replies.where("rotation > 0").select("doc_id", "page", "attempt", "rotation")
+    out = out.join(turns, ["doc_id", "page", "attempt"], "left").withColumn("rotation", F.when(~F.coalesce("truncated_tail", F.lit(False)), F.col("rotation")))
     meta = F.struct("json_repaired", "repeated", "truncated_tail", "reviewed")
     return out.withColumn("flags", block_flags(F.col("type"), F.col("content"), meta))
 

@@ -19,8 +19,8 @@ def reply(*elements):
 
 
 def read(request: str) -> str:
-    """Reads a page by its width."""
-    width = _width(request)
+    """Reads a page by its shade of gray."""
+    width = _shade(request)
     if width == 43:
         raise M.Rejected("HTTP 400: no")
     if width == 42:
@@ -28,11 +28,15 @@ def read(request: str) -> str:
     return reply(("Title", "# A page"), ("Text", f"wide {width} and")) if width == 41 else reply(("Text", "alone"))
 
 
-def _width(request: str) -> int:
+def _page(request: str):
     import base64
 
     url = json.loads(request)["content"][0]["image_url"]["url"]
-    return images.read_png(base64.b64decode(url.partition(",")[2])).shape[1]
+    return images.read_png(base64.b64decode(url.partition(",")[2]))
+
+
+def _shade(request: str) -> int:
+    return int(_page(request)[5, 5, 0])
 
 
 def proofread(request: str) -> str:
@@ -46,7 +50,7 @@ def inputs(tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
     for name, width in (("a", 41), ("b", 42), ("c", 43)):
-        (folder / f"{name}.png").write_bytes(images.png(np.full((60, width, 3), 200, np.uint8)))
+        (folder / f"{name}.png").write_bytes(images.png(np.full((56, 56, 3), width, np.uint8)))
     (folder / "d.jpg").write_bytes(b"\xff\xd8 broken")
     return str(folder)
 
@@ -62,7 +66,7 @@ def test_all_stages(spark, tmp_path, inputs, capsys):
     assert md["b"] == "<!-- page 1 -->\n\nit goes on in lower case\n\n$$\nx_{1}\n$$\n"
     assert md["c"] == "<!-- page 1: OCR failed, see report.json -->\n"
     report = json.loads((docs["b"] / "report.json").read_text())
-    assert report["review"] == {"edited": 1} and report["n_pages"] == 1 and report["reviewed_pages"] == 1 and report["block_types"] == {"formula": 1, "text": 1}
+    assert report["review_errors"] == 0 and report["truncated_pages"] == [] and report["review"] == {"edited": 1} and report["n_pages"] == 1 and report["reviewed_pages"] == 1 and report["block_types"] == {"formula": 1, "text": 1}
     assert json.loads((docs["c"] / "report.json").read_text())["failed_pages"] == [1]
     w = stages.Work(spark, work)
     assert [r["error"][:9] for r in w.table("failures").collect()] == ["NoDecoder"]
@@ -98,6 +102,54 @@ def test_a_server_that_is_down_and_a_stop(spark, tmp_path, inputs):
     assert left == {"b"}  # pages without a wanted block are reviewed
 
 
+def test_turned_pages_are_read_again(spark, tmp_path):
+    """A reader that says a page is turned sees it turned, and so does the reviewer."""
+    page = np.full((40, 80, 3), 255, np.uint8)
+    page[:, :20] = 10
+    (tmp_path / "p.png").write_bytes(images.png(page))
+    seen = str(tmp_path / "seen")
+
+    def model(request):
+        shown, asked = _page(request), json.loads(request)
+        with open(seen, "a") as f:
+            f.write(f"{shown.shape[:2]} {asked['temperature']}\n")
+        ok = shown.shape[0] > shown.shape[1]
+        return f"---\nis_rotation_valid: {ok}\nrotation_correction: {0 if ok else 90}\n---\n# upright\n\n\\[a_{{\\]"
+
+    def proof(request):
+        shown = _page(request)
+        with open(seen, "a") as f:
+            f.write(f"review {shown.shape[0] > shown.shape[1]}\n")
+        return "VERDICT: correct"
+
+    w = stages.Work(spark, str(tmp_path / "work"))
+    w.ingest([str(tmp_path / "p.png")])
+    w.read(model, "dollar-markdown", retries=0, workers=1)
+    w.review(proof, workers=1)
+    got = w.done("review").first()["blocks"]
+    assert [(b["type"], b["content"], b["rotation"], b["reviewed"]) for b in got] == [("title", "upright", 90, None), ("formula", "a_{", 90, "agreed")]
+    assert [h["decision"] for h in got[1]["history"]] == ["kept (reviewer agreed)"]
+    lines = open(seen).read().splitlines()
+    assert lines == ["(644, 1288) 0.1", "(1288, 644) 0.1", "review True"]
+
+
+def test_formulas_in_katex(spark, tmp_path):
+    """A stand-in worker: it refuses what holds `bad` and dies of `die`."""
+    import sys
+
+    from leafmill.sources import katex
+
+    worker = tmp_path / "worker.py"
+    worker.write_text("import sys, json\nfor line in sys.stdin:\n    t = json.loads(line)['tex']\n    if 'die' in t:\n        sys.exit(3)\n    print(json.dumps('no' if 'bad' in t else None), flush=True)\n")
+    start = [sys.executable, str(worker)]
+    assert katex.errors([("x", True), ("bad", True)], start) == [None, "no"] and katex.errors([("x", True)], None) == [None]
+    assert katex.errors([("x", True), ("die", True), ("x", True)], start) == [None, katex.UNCHECKED, katex.UNCHECKED]
+    assert katex.errors([("x", True)], ["/no/such/program"]) == [katex.UNCHECKED]
+    rows = spark.createDataFrame([(1, "$$x$$"), (2, "bad"), (3, "bad {"), (4, None)], "i int, content string")
+    assert {r["i"]: r["katex"] for r in katex.katex_flags(rows, start=start).collect()} == {1: None, 2: "latex_katex", 3: None, 4: None}
+    assert {r["katex"] for r in katex.katex_flags(rows).collect()} == {None}
+
+
 def test_id_collisions_are_refused(spark, tmp_path, inputs):
     w = stages.Work(spark, str(tmp_path / "work"))
     w.ingest([inputs])
