@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from leafmill.schema import TRUNCATED
 
-STRIP = r"(?U)^\s+|\s+$"
+#: White space of Unicode; a set of characters, so that only a text's ends are looked at.
+SPACE = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def strip(c: Column) -> Column:
     """Without white space at both ends, Unicode's included."""
-    return F.regexp_replace(c, STRIP, "")
+    return F.btrim(c, F.lit(SPACE))
 
 
 def clean(c: Column) -> Column:

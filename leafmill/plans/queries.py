@@ -126,7 +126,16 @@ def rdm04_outer_fence(spark, d):
     return table(spark, d, "documents").select("doc_id", X.outer_fence(reply).alias("body"))
 
 
-@query()
+@query(r"""
+WITH l AS (SELECT doc_id, generate_subscripts(x, 1) AS n, unnest(x) AS line FROM (SELECT doc_id, string_split(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(10)) AS x FROM documents)),
+k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS s, CASE WHEN trim(line, ' ' || chr(9) || chr(13)) = '' THEN 'blank' WHEN regexp_matches(trim(line, ' ' || chr(9) || chr(13)), '^#{1,6}\s+') THEN 'heading' ELSE 'text' END AS kind FROM l),
+r AS (SELECT *, sum(CASE WHEN kind = 'text' AND before = 'text' THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY n) AS run FROM (SELECT *, lag(kind) OVER (PARTITION BY doc_id ORDER BY n) AS before FROM k)),
+b AS (SELECT doc_id, run, any_value(kind) AS kind, trim(string_agg(line, chr(10) ORDER BY n), ' ' || chr(10) || chr(9) || chr(13)) AS c FROM r WHERE kind <> 'blank' GROUP BY doc_id, run)
+SELECT doc_id, 0 AS page, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY run) - 1 AS INTEGER) AS block_no,
+  CASE WHEN kind = 'heading' THEN CASE WHEN starts_with(c, '##') THEN 'heading' ELSE 'title' END WHEN starts_with(c, '|') THEN 'table' WHEN regexp_matches(c, '^([-*+]|\d+[.)])\s') THEN 'list' ELSE 'text' END AS type,
+  CASE WHEN kind = 'heading' THEN regexp_replace(regexp_replace(c, '^#{1,6}\s+', ''), '\s*#*$', '') ELSE c END AS content,
+  CASE WHEN kind = 'heading' AND starts_with(c, '##') THEN CAST(length(regexp_extract(c, '^#+')) - 1 AS INTEGER) END AS level FROM b
+""".replace("\\\\", "\\"))
 def rdm01_markdown_blocks(spark, d):
     docs = table(spark, d, "documents")
     return B.markdown_blocks(docs.select("doc_id", F.lit(0).alias("page"), "text", F.lit(False).alias("cut"))).drop("note")
@@ -223,6 +232,19 @@ def val01_block_flags(spark, d):
     return b.select("doc_id", "page", "block_no", "type", F.array_join(V.block_flags(F.col("type"), F.col("content")), ",").alias("flags"))
 
 
+@query(rf"""
+WITH {LINES}, c AS (SELECT *, list_transform(regexp_extract_all(content, '\$\$(.+?)\$\$', 1), lambda x: contains(x, '$')) AS shown, regexp_replace(content, '\$\$.+?\$\$', ' ', 'g') AS rest FROM lines),
+t AS (SELECT *, (length(replace(rest, '$$', '')) - length(replace(replace(rest, '$$', ''), '$', ''))) % 2 = 1 OR regexp_matches(rest, '(^|\s)\$\$') OR regexp_matches(rest, '(^|[^\\$])\$\$(\s|$)') AS torn FROM c)
+SELECT doc_id, page, block_no, concat_ws(',', CASE WHEN trim(content) = '' THEN 'empty' END, CASE WHEN torn THEN 'inline_math' END, CASE WHEN list_contains(shown, true) THEN 'latex_delims' END) AS flags FROM t
+""".replace("\\\\", "\\"))
+def val01_structure_flags(spark, d):
+    """VAL-01 over the lines of all documents; what depends on compression is left out, and the
+    lines hold no LaTeX beyond their dollar signs."""
+    b = lines(spark, d)
+    found = F.array_except(V.block_flags(F.col("type"), F.col("content")), F.array(F.lit("repetition")))
+    return b.select("doc_id", "page", "block_no", F.array_join(found, ",").alias("flags"))
+
+
 @query("SELECT doc_id, lang FROM documents ANTI JOIN labels USING (doc_id)")
 def join01_work_left(spark, d):
     return R.work_left(table(spark, d, "documents").select("doc_id", "lang"), table(spark, d, "labels"), ["doc_id"])

@@ -20,7 +20,9 @@ def completions(items: DataFrame, keep_ms: int = KEEP_MS) -> DataFrame:
     """items (doc_id, page, item, expected, ok): each page once, when its last item is in. An
     item that failed for now leaves the page incomplete; a later one that is ok makes up for
     it. Items go by their name, so one that is delivered again counts once. A page's state goes
-    when nothing has come for it for so long; one that comes back later begins anew."""
+    when nothing has come for it for so long; one that comes back later begins anew. A run that is
+    to end once its input is used up needs spark.sql.streaming.noDataMicroBatches.enabled off, or
+    it waits for pages to time out."""
     ship(items.sparkSession)
 
     def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

@@ -107,6 +107,10 @@ def test_stream_tells_each_page_once(spark, tmp_path):
     for r in rows:
         spark.createDataFrame([r], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
-    q = completions(stream).writeStream.format("memory").queryName("told").outputMode("append").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start()
-    q.awaitTermination(180)
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        q = completions(stream).writeStream.format("memory").queryName("told").outputMode("append").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start()
+        assert q.awaitTermination(120)
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
     assert sorted((r["doc_id"], r["page"], r["n_items"]) for r in spark.table("told").collect()) == [(1, 0, 2), (1, 1, 1)]
