@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from leafmill.llm import _common as C
 
-SHARDS, ITEM, BUNDLES, SUB = 16, 1024, 4096, 64
+SHARDS, ITEM, BUNDLES, SUB = 16, 4096, 1 << 15, 64
 #: How far levelling the bytes may take the other dimensions from even.
 TOLERANCE = 0.01
 SPACE = " \t\n\r\x0b\x0c\u3000\xa0"
