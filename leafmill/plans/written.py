@@ -19,6 +19,7 @@ from leafmill.operators import figures as D
 from leafmill.operators import graphs as G
 from leafmill.operators import html as H
 from leafmill.operators import layout as L
+from leafmill.operators import prompts as P
 from leafmill.operators import readers
 from leafmill.operators import reports as R
 from leafmill.operators import review as V2
@@ -331,6 +332,16 @@ def rev03_kinds(rows):
     return rows.select("p_partkey", V2.kind_of(F.col("a")).alias("out"))
 
 
+@told([("formula", "x {w}", "1", "x {w}|latex|flagged"), ("table", "| {w} |", "0", "| {w} ||table_out|plain"), ("list", "", "0", "|text|plain"), ("text", "half {w}\n" + TRUNCATED, "1", "half {w}|text|flagged")])
+def rev13_requests(rows):
+    """REV-03, REV-13: what a reviewer is asked: the draft, the tag of the answer, what is flagged."""
+    flags = F.when(F.col("c") == "1", F.array(F.lit("truncated"))).otherwise(F.array().cast(NONE))
+    request = P.with_image(P.review_prompt(F.col("a"), F.col("b"), flags), F.lit(None).cast("binary"))
+    said = F.get_json_object(request, "$.content[0].text")
+    draft, tag = F.regexp_extract(said, r"(?s)<draft>\n(.*)\n</draft>", 1), F.regexp_extract(said, r"(?s)</(\w+)>\z", 1)
+    return rows.select("p_partkey", F.concat_ws("|", draft, tag, F.when(said.contains("flagged: truncated."), "flagged").otherwise("plain")).alias("out"))
+
+
 @told(
     [
         ("text", "{w}", "VERDICT: correct", "agreed|{w}|kept (reviewer agreed)"),
@@ -462,3 +473,50 @@ def rdb01_boxes(spark, d):
     place = F.when(b > 0, F.array(F.lit(0.0), F.lit(0.0), F.lit(1.0), b.cast("double")))
     items = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.lit(0).alias("page"), F.col("l_linenumber").cast("int").alias("pos"), place.alias("box"), F.concat("l_returnflag", F.pmod("l_partkey", F.lit(2))).alias("label"), F.col("l_linenumber").cast("string").alias("text"))
     return B.drop_repeats(items).select(F.col("doc_id").alias("l_orderkey"), "pos", F.col("copies").cast("long").alias("copies"))
+
+
+@query("""
+WITH s AS (SELECT p_partkey, p_size % 3 AS k, CAST(trunc(p_retailprice) AS INTEGER) AS w, p_size * 90 AS h FROM part)
+SELECT p_partkey, CASE k WHEN 0 THEN CAST(round_even(w * least(1.0, 1600 / greatest(w, h)), 0) AS INTEGER) WHEN 1 THEN CAST(round_even(w * (1288 / greatest(w, h)), 0) AS INTEGER) ELSE w END AS w,
+  CASE k WHEN 0 THEN CAST(round_even(h * least(1.0, 1600 / greatest(w, h)), 0) AS INTEGER) WHEN 1 THEN CAST(round_even(h * (1288 / greatest(w, h)), 0) AS INTEGER) ELSE h END AS h FROM s
+""")
+def rdm07_page_sizes(spark, d):
+    """RDM-07, RDM-08: the size of the page that each Markdown reader is shown."""
+    k, w, h = F.pmod("p_size", F.lit(3)), F.col("p_retailprice").cast("int"), F.col("p_size") * 90
+    size = F.when(k == 0, readers.page_size("markdown", w, h)).when(k == 1, readers.page_size("dollar-markdown", w, h)).otherwise(readers.page_size("another", w, h))
+    return table(spark, d, "part").select("p_partkey", size.alias("s")).select("p_partkey", "s.w", "s.h")
+
+
+@query("""
+SELECT doc_id, 0 AS page FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id % 3 = 1)
+""")
+def val22_unreadable(spark, d):
+    """VAL-22: a reading that failed, or that cannot be read (null), is to be done again."""
+    page = F.lit(0).alias("page")
+    failed = F.when(F.pmod("doc_id", F.lit(3)) == 0, F.lit(True)).when(F.pmod("doc_id", F.lit(3)) == 1, F.lit(False))
+    return R.to_read(table(spark, d, "documents").select("doc_id", page), table(spark, d, "labels").select("doc_id", page, failed.alias("failed")), retry_failed=True)
+
+
+@query("""
+WITH p AS (SELECT l_orderkey AS doc_id, l_linenumber AS page, min(l_partkey) AS k FROM lineitem GROUP BY ALL)
+SELECT doc_id, count(*) AS pages, count(*) FILTER (k % 2 = 0) AS "read", count(*) FILTER (k % 4 = 0) AS review, doc_id % 5 = 0 AS assembled FROM p GROUP BY doc_id
+""")
+def snk11_status(spark, d):
+    """SNK-11, AGG-05: the status table, orders for documents and line numbers for pages."""
+    pages = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("page")).agg(F.min("l_partkey").alias("k"))
+    return R.spans(pages.select("doc_id", (F.col("k") % 2 == 0).alias("is_read"), (F.col("k") % 4 == 0).alias("is_reviewed")), ["doc_id"]).withColumn("assembled", F.col("doc_id") % 5 == 0)
+
+
+@query("""
+SELECT o_orderkey % 50 AS page, CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE 'seen ' || o_orderkey END AS reply, o_orderkey FROM orders WHERE o_custkey % 5 <> 0
+""")
+def snk10_in_order(spark, d):
+    """SNK-10: many requests in flight, replies at their rows."""
+
+    def model(request: str) -> str:
+        if int(request.split()[1]) % 7 == 0:
+            raise models.Rejected("no")
+        return "seen " + request.split()[0]
+
+    rows = table(spark, d, "orders").where("o_custkey % 5 <> 0").select("o_orderkey", F.concat_ws(" ", "o_orderkey", "o_custkey").alias("request"))
+    return models.answered(rows, model).select((F.col("o_orderkey") % 50).alias("page"), "reply", "o_orderkey")
