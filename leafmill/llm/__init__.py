@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from leafmill.llm._common import clear  # noqa: F401  for whoever has read the results
 from leafmill.llm.bpe import op4_bpe
 from leafmill.llm.decontaminate import OP3_SQL, op3_decontaminate
 from leafmill.llm.embeddup import op9_embeddup
