@@ -19,29 +19,47 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.llm import _common as C
 
 MIN_CHARS, MIN_DOCS = 20, 3
-SPACE = " \t\n\x0b\x0c\r"
+SPACE = b" \t\n\x0b\x0c\r"
 BLOCK = 50_000
 DROP, PENDING, SUMMARY = 0, 1, 2
 _RUN = "kind int, h1 long, h2 long, d long, k long, pos int, n long"
 
 
-def occurrences(docs: DataFrame, least: int) -> DataFrame:
-    """(h1, h2, d, k, pos) of the lines whose key has `least` code points or more: two independent
-    hashes of the stripped line with A-Z lower-cased."""
-    lines = docs.select(*_ids(), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"))
-    key = F.translate(F.btrim("line", F.lit(SPACE)), ascii_uppercase, ascii_lowercase)
-    keyed = lines.select("d", "k", "pos", key.alias("key")).where(F.length("key") >= least)
-    return keyed.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"), "d", "k", "pos")
+def line_key(line: bytes, least: int) -> bytes | None:
+    """The stripped line with A-Z lower-cased, if it has enough code points."""
+    line = line.strip(SPACE)
+    if len(line) < least or (len(line) < 4 * least and len(line.decode("utf-8", "replace")) < least):
+        return None
+    return line.lower()  # bytes.lower touches A-Z only
+
+
+def _occurrences(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in C.small(batches):
+            digests, counts, pos = [], [], []
+            for text in b.column("text").to_pylist():
+                before = len(pos)
+                for i, line in enumerate((text or b"").split(b"\n")):
+                    key = line_key(line, least)
+                    if key is not None:
+                        digests.append(xxhash.xxh3_128_digest(key))
+                        pos.append(i)
+                counts.append(len(pos) - before)
+            h = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            d, k = (np.repeat(b.column(c).to_numpy(), counts) for c in ("d", "k"))
+            yield pa.RecordBatch.from_arrays([pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(d), pa.array(k), pa.array(pos, pa.int32())], names=["h1", "h2", "d", "k", "pos"])
+
+    return run
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -141,7 +159,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     """(d, k, n_dropped, keep_bitmap) of the documents that lose lines: zlib over packed
     bits, 1 for a kept line; lines past its end are kept."""
     C.prepare(docs.sparkSession)
-    lines = occurrences(docs, min_chars)
+    lines = docs.select(*_ids(), F.col("text").cast("binary").alias("text")).mapInArrow(_occurrences(min_chars), "h1 long, h2 long, d long, k long, pos int")
     by_hash = [F.col("h1"), F.col("h2"), F.col("d").desc()]
     runs = C.cut(lines.repartitionByRange(*by_hash).sortWithinPartitions(*by_hash, "pos").mapInArrow(_stream(min_docs), _RUN))
     # Two summaries a partition at most: that bounds what is broadcast.
