@@ -1,7 +1,7 @@
 """Operator 6: sharding by vector bin packing.
 
 Rows of equal text form a group with a vector of bytes, tokens and rows. Tokens are
-estimated: one, one more for each white-space character, and one for every two bytes
+estimated: one, one more for each space, tab or line feed, and one for every two bytes
 that characters take beyond their first, so that scripts written without spaces count
 too. Groups that matter one by one (over one
 part in ITEM of the total in some dimension; there are at most 3 * ITEM of those) and
@@ -34,7 +34,6 @@ from leafmill.llm import _common as C
 SHARDS, ITEM, BUNDLES, SUB = 16, 4096, 1 << 15, 64
 #: How far levelling the bytes may take the other dimensions from even.
 TOLERANCE = 0.01
-SPACE = " \t\n\r\x0b\x0c\u3000\xa0"
 
 
 def place(vectors: np.ndarray, shards: int = SHARDS) -> np.ndarray:
@@ -89,11 +88,14 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(doc_id, size, tokens, text_crc32, group, shard, slot) of every row."""
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
+    solid = text
+    for c in " \n\t":
+        solid = F.replace(solid, F.lit(c), F.lit(""))
     rows = C.cut(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             (F.octet_length(text) + 1).cast("long").alias("size"),
-            (F.lit(1) + F.length(text) - F.length(F.translate(text, SPACE, "")) + F.shiftright(F.octet_length(text) - F.length(text), 1)).cast("long").alias("tokens"),
+            (F.lit(1) + F.length(text) - F.length(solid) + F.shiftright(F.octet_length(text) - F.length(text), 1)).cast("long").alias("tokens"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
             C.text_key().alias("group"),
             F.monotonically_increasing_id().alias("row"),
