@@ -42,6 +42,7 @@ def options() -> argparse.ArgumentParser:
             p.add_argument("--no-flagged", action="store_true")
             p.add_argument("--max-change", type=float, default=0.35)
             p.add_argument("--max-change-flagged", type=float, default=0.6)
+            p.add_argument("--no-describe-figures", action="store_true")
         if name in ("read", "review", "all"):
             p.add_argument("--workers", type=int, default=32)
         if name in ("assemble", "all"):
@@ -75,7 +76,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, reade
     def review():
         model = reviewer or ChatEndpoint(a.reviewer_url, a.reviewer_model, **a.reviewer_extra)
         policy = Policy(tuple(t for t in a.review_types.split(",") if t), not a.no_flagged, a.max_change, a.max_change_flagged)
-        work.review(model, a.reviewer_model or "model", policy, a.force, workers=a.workers)
+        work.review(model, a.reviewer_model or "model", policy, a.force, not a.no_describe_figures, workers=a.workers)
 
     def todo():
         print((work.to_read(a.force, a.retry_failed) if a.of == "read" else work.to_review(a.force)).count())

@@ -51,6 +51,25 @@ def review_prompt(block_type: Column, content: Column, flags: Column) -> Column:
     return F.when(draft != "", proof).otherwise(read)
 
 
+FIGURE = """Describe this figure of a document for someone who cannot see it.
+First line: KIND: one of plot, graph (vertices and edges), diagram, commutative_diagram, table_image, algorithm, photo, other.
+Then <description>what it shows: axes and their ranges, curves and trends, parts and how they are connected, labels as they are written</description>.
+Then, for a graph, diagram, commutative diagram or plot, <structure>...</structure>: a graph as one tikzpicture of \\node (name) at (x,y) {label}; and \\draw statements between named nodes; a commutative diagram as tikzcd; a diagram as Mermaid; a plot's points as text."""
+
+
+def figure_prompt(caption: Column) -> Column:
+    said = F.coalesce(F.trim(caption), F.lit(""))
+    return F.when(said != "", F.concat(F.lit(FIGURE + "\nIts caption: "), said)).otherwise(FIGURE)
+
+
+def with_problems(request: Column, problems: Column) -> Column:
+    """A request made again, with what was wrong with its answer."""
+    form = "struct<content:array<struct<type:string,image_url:struct<url:string>,text:string>>>"
+    told = F.concat(F.lit("An earlier answer had these faults; give the whole answer again without them: "), F.array_join(problems, "; "))
+    part = F.struct(F.lit("text").alias("type"), F.lit(None).cast("struct<url:string>").alias("image_url"), told.alias("text"))
+    return F.to_json(F.struct(F.array_append(F.from_json(request, form)["content"], part).alias("content")))
+
+
 def with_image(prompt: Column, image: Column, *more: Column) -> Column:
     """SNK-09: a request of an image and a text, as JSON for a chat endpoint; the text alone where
     there is no image. more: other fields of the request, null ones left out."""

@@ -21,7 +21,8 @@ from leafmill.functions.text import reader_tag
 from leafmill.operators import reports as R
 from leafmill.operators.assembly import assemble
 from leafmill.operators.blocks import best_attempt, reading_loss
-from leafmill.operators.prompts import review_prompt, with_image
+from leafmill.operators.figures import crop_name, describe, needs_description
+from leafmill.operators.prompts import figure_prompt, review_prompt, with_image, with_problems
 from leafmill.operators.readers import TURNS, asks_turn, decoding, page_size, reader
 from leafmill.operators.review import Policy, recheck, reviewed, wanted
 from leafmill.schema import HISTORY
@@ -31,7 +32,7 @@ from leafmill.sources import files, images, models
 #: Exit codes: done, wrong use, a server or the system failed, stopped and to be run again.
 DONE, USAGE, FAILED, STOPPED = 0, 2, 3, 85
 
-BLOCKS = "array<struct<block_no:int,type:string,content:string,bbox:array<double>,source:string,flags:array<string>,level:int,json_repaired:boolean,repeated:int,truncated_tail:boolean,tail_recovered:boolean,rotation:int,reviewed:string,decision:string,previous:string,history:array<struct<source:string,verdict:string,decision:string,proposal:string,previous:string,previous_source:string>>>>"
+BLOCKS = "array<struct<block_no:int,type:string,content:string,bbox:array<double>,source:string,flags:array<string>,level:int,json_repaired:boolean,repeated:int,truncated_tail:boolean,tail_recovered:boolean,rotation:int,image:string,alt:string,kind:string,description:string,description_error:string,reviewed:string,decision:string,previous:string,history:array<struct<source:string,verdict:string,decision:string,proposal:string,previous:string,previous_source:string>>>>"
 SCHEMAS = {
     "manifest": "doc_id string, source string, sha256 string, n_pages long, run long",
     "pages": images.PAGES + ", run long",
@@ -40,7 +41,7 @@ SCHEMAS = {
     "review": f"doc_id string, page int, reader string, failed boolean, error string, blocks {BLOCKS}, run long",
     "documents": "doc_id string, failed_pages long, run long",
 }
-_FIELDS = [x.split(":")[0] for x in "block_no:int type:string content:string bbox:x source:x flags:x level:x json_repaired:x repeated:x truncated_tail:x tail_recovered:x rotation:x reviewed:x decision:x previous:x history:x".split()]
+_FIELDS = [x.split(":")[0] for x in "block_no:int type:string content:string bbox:x source:x flags:x level:x json_repaired:x repeated:x truncated_tail:x tail_recovered:x rotation:x image:x alt:x kind:x description:x description_error:x reviewed:x decision:x previous:x history:x".split()]
 
 
 class Stopped(Exception):
@@ -189,9 +190,9 @@ class Work:
             todo = pages.join(turns, ["doc_id", "page"])
         return out.drop("_turn").withColumns({"attempt": F.lit(attempt), "text": F.col("reply")})
 
-    def review(self, model: Callable[[str], str], model_name: str = "model", policy: Policy = Policy(), force: bool = False, **how) -> None:
-        """REV-12, REV-14: the blocks that policy wants go to the reviewer; a page is saved once
-        none of its blocks waits for a server."""
+    def review(self, model: Callable[[str], str], model_name: str = "model", policy: Policy = Policy(), force: bool = False, figures: bool = True, **how) -> None:
+        """REV-12, REV-14, FIG-06: the blocks that policy wants go to the reviewer, and figures to be
+        described; a page is saved once none of its blocks waits for a server."""
         down, source = 0, f"reviewer:{model_name}"
         for todo in self.rounds(self.to_review(force)):
             read = self.done("read").join(todo, ["doc_id", "page"])
@@ -202,18 +203,41 @@ class Work:
             asked = images.cuttings(ask.join(page, ["doc_id", "page"], "left"), turn="rotation").drop("png", "width", "height")
             asked = asked.withColumn("request", with_image(review_prompt(F.col("type"), F.col("content"), F.col("flags")), F.col("cut"))).drop("cut")
             got = settled(models.answered(asked, model, stop=self.stop, **how).drop("request"))
-            waits = got.where("error_kind IN ('unavailable', 'stopped')").select("doc_id", "page").distinct()
+            late = got.select("doc_id", "page", "error_kind")
+            if figures:
+                blocks, described_ = self.described(blocks, page, model, **how)
+                late = late.unionByName(described_.select("doc_id", "page", "error_kind"))
+            waits = late.where("error_kind IN ('unavailable', 'stopped')").select("doc_id", "page").distinct()
             out = reviewed(got.where("error_kind IS NULL OR error_kind IN ('rejected', 'error')").drop("reviewed", "decision", "previous", "tail_recovered"), source, policy)
             rest = blocks.join(got.select("doc_id", "page", "block_no"), ["doc_id", "page", "block_no"], "left_anti")
             every = rest.select("doc_id", "page", *_FIELDS).unionByName(out.select("doc_id", "page", *_FIELDS)).join(waits, ["doc_id", "page"], "left_anti")
             pages = every.groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(F.struct(*_FIELDS))).cast(BLOCKS).alias("blocks"))
             whole = read.drop("blocks", "run").join(waits, ["doc_id", "page"], "left_anti").join(pages, ["doc_id", "page"], "left")
             self.append("review", whole.withColumn("blocks", F.coalesce("blocks", F.array().cast(BLOCKS))))
-            down += got.where("error_kind = 'unavailable'").count()
+            down += late.where("error_kind = 'unavailable'").count()
         self.check()
         if down:
             raise ServerDown(f"{down} request(s) failed")
 
+    def described(self, blocks: DataFrame, pages: DataFrame, model: Callable[[str], str], **how) -> tuple[DataFrame, DataFrame]:
+        """FIG-05: blocks with what a model says of the figures that lack a description, and what
+        became of each request."""
+        place = ["doc_id", "page", "block_no"]
+        captions = R.captions(blocks.select(*place, "type", "content"))
+        wanted_ = needs_description(blocks).select(*place, "bbox", "rotation").join(captions, place, "left").join(pages, ["doc_id", "page"], "left")
+        cut = images.cuttings(wanted_, 0.005, turn="rotation")
+        told = describe(cut.select(*place, with_image(figure_prompt(F.col("caption")), F.col("cut")).alias("request")), model, with_problems, stop=self.stop, **how)
+        told = settled(told.select(*place, "error_kind", "error", F.col("flags").alias("_flags"), F.col("kind").alias("_kind"), F.col("description").alias("_description")))
+        out = blocks.join(told.drop("error_kind"), place, "left")
+        none = F.array().cast("array<string>")
+        fresh = {
+            "kind": F.coalesce("kind", "_kind"),
+            "description": F.coalesce("description", F.when(F.col("error").isNull(), F.col("_description"))),
+            "description_error": F.coalesce("error", "description_error"),
+            "flags": F.array_sort(F.array_union(F.coalesce("flags", none), F.coalesce(F.when(F.col("error").isNull(), F.col("_flags")), none))),
+        }
+        return out.withColumns(fresh).select(blocks.columns), told
+
     def pages_now(self) -> DataFrame:
         """SRC-15: each page as reviewed, or else as read."""
         return R.latest_pages(self.done("read"), self.done("review"), ["doc_id", "page"], ["reader", "failed", "error", "blocks"])
@@ -232,11 +256,14 @@ class Work:
         lost = blocks.groupBy("doc_id").agg(
             F.array_sort(F.collect_set(F.when(F.col("tail") & (F.trim(F.coalesce("content", F.lit(""))) == ""), F.col("page") + 1))).alias("truncated_pages"),
             F.array_sort(F.collect_set(F.when(F.col("tail_recovered"), F.col("page") + 1))).alias("truncated_recovered"),
-            F.count_if(F.col("reviewed") == "error").alias("review_errors"),
+            F.count_if((F.col("reviewed") == "error") | F.col("description_error").isNotNull()).alias("review_errors"),
         )
         decided = blocks.where("reviewed IS NOT NULL").groupBy("doc_id").agg(F.collect_list("reviewed").alias("r")).select("doc_id", R.tally(F.col("r")).alias("review"))
         fields = ["doc_id", "source", "n_pages", "readers", "work", "reviewed_pages", "failed_pages", "truncated_pages", "truncated_recovered", "review_errors", "block_types", "review", "open_flags", "flagged_blocks"]
         told = full.join(seen, "doc_id").join(shown.drop("n_pages"), "doc_id", "left").join(decided, "doc_id", "left").join(lost, "doc_id", "left").withColumn("work", F.lit(self.root))
+        drawn = blocks.where("image IS NOT NULL AND bbox IS NOT NULL").select("doc_id", "page", "block_no", "type", "bbox")
+        cut = images.figure_cuttings(drawn, self.latest("pages", ["doc_id", "page"]))
+        images.save_images(cut.select("doc_id", F.col("image").alias("name"), F.col("cut").alias("png")), out)
         rows = text.join(told, "doc_id").select("doc_id", "markdown", F.to_json(F.struct(*fields)).alias("report"))
         files.save_files(rows, out)
         self.append("documents", told.select("doc_id", F.size("failed_pages").cast("long").alias("failed_pages")))
@@ -251,10 +278,10 @@ class Work:
 
     def status_text(self) -> str:
         """The status as a table of fixed width, and a line of sums."""
-        rows = self.status().orderBy("doc_id").collect()
-        lines = [f"{'doc_id':50s} {'pages':>5s} {'read':>5s} {'review':>6s} md"]
-        lines += [f"{r['doc_id'][:50]:50s} {r['pages']:5d} {r['read']:5d} {r['review']:6d} {'yes' if r['assembled'] else '-'}" for r in rows]
-        return "\n".join([*lines, f"{sum(r['assembled'] for r in rows)}/{len(rows)} documents assembled"])
+        shown = self.status().orderBy("doc_id").collect()
+        table = [("doc_id", "pages", "read", "review", "md"), *((r["doc_id"][:50], r["pages"], r["read"], r["review"], "yes" if r["assembled"] else "-") for r in shown)]
+        lines = [" ".join([name.ljust(50), *(str(n).rjust(w) for n, w in zip(numbers, (5, 5, 6), strict=True)), md]) for name, *numbers, md in table]
+        return "\n".join([*lines, f"{sum(r['assembled'] for r in shown)}/{len(shown)} documents assembled"])
 
 
 def _blank(pages: DataFrame) -> DataFrame:
@@ -272,7 +299,11 @@ def _blocks(read: Callable[[DataFrame], DataFrame], replies: DataFrame, tag: Col
     where = F.from_json("doc_id", "doc_id string, page int, attempt int")
     out = rows.select(
         where["doc_id"].alias("doc_id"), where["page"].alias("page"), where["attempt"].alias("attempt"), "block_no", "type", "content", have("bbox", "array<double>"), tag.alias("source"), have("level", "int"),
-        have("json_repaired", "boolean"), have("repeated", "int"), have("truncated_tail", "boolean"), F.lit(False).alias("tail_recovered"), F.lit(None).cast("string").alias("reviewed"), F.lit(None).cast("string").alias("decision"), F.lit(None).cast("string").alias("previous"), F.lit(None).cast(HISTORY).alias("history"),
+        have("json_repaired", "boolean"), have("repeated", "int"), have("truncated_tail", "boolean"), F.lit(False).alias("tail_recovered"),
+        F.when(F.col("bbox").isNotNull() & (F.col("type") == "figure"), crop_name(where["page"], F.col("block_no"))).alias("image"),
+        F.when(F.col("bbox").isNotNull() & (F.col("type") == "figure"), F.concat(F.lit("Figure (page "), (where["page"] + 1).cast("string"), F.lit(")"))).alias("alt"),
+        *(F.lit(None).cast("string").alias(c) for c in ("kind", "description", "description_error")),
+        F.lit(None).cast("string").alias("reviewed"), F.lit(None).cast("string").alias("decision"), F.lit(None).cast("string").alias("previous"), F.lit(None).cast(HISTORY).alias("history"),
     )
     turns = replies.where("rotation > 0").select("doc_id", "page", "attempt", "rotation")
     out = out.join(turns, ["doc_id", "page", "attempt"], "left").withColumn("rotation", F.when(~F.coalesce("truncated_tail", F.lit(False)), F.col("rotation")))

@@ -25,7 +25,7 @@ def read(request: str) -> str:
         raise M.Rejected("HTTP 400: no")
     if width == 42:
         return reply(("Text", "it goes on in lower case"), ("Formula", "x_{1"))
-    return reply(("Title", "# A page"), ("Text", f"wide {width} and")) if width == 41 else reply(("Text", "alone"))
+    return reply(("Title", "# A page"), ("Text", f"wide {width} and"), ("Picture", None), ("Caption", "Fig. 1")) if width == 41 else reply(("Text", "alone"))
 
 
 def _page(request: str):
@@ -41,6 +41,10 @@ def _shade(request: str) -> int:
 
 def proofread(request: str) -> str:
     text = json.loads(request)["content"][1]["text"]
+    if "KIND:" in text:
+        assert text.endswith("Its caption: Fig. 1") and _page(request).ndim == 3
+        again = len(json.loads(request)["content"]) > 2
+        return f"KIND: graph\n<description>two dots</description>\n<structure>\\node (a) {{}}; \\node (b) {{}}; \\draw (a) -- ({'b' if again else 'c'});</structure>"
     assert "latex_braces" in text and "<draft>\nx_{1\n</draft>" in text
     return "VERDICT: fixed\n<latex>\nx_{1}\n</latex>"
 
@@ -62,7 +66,9 @@ def test_all_stages(spark, tmp_path, inputs, capsys):
     docs = {p.name.partition("-")[0]: p for p in (tmp_path / "out").iterdir()}
     assert sorted(docs) == ["a", "b", "c"]
     md = {k: (p / f"{p.name}.md").read_text() for k, p in docs.items()}
-    assert md["a"] == "<!-- page 1 -->\n\n# A page\n\nwide 41 and\n"
+    assert md["a"].startswith("<!-- page 1 -->\n\n# A page\n\nwide 41 and\n\n![Figure (page 1)](figures/p0001_b02.png)\n\n<details><summary>Figure description (generated) — graph as Markdown and as TikZ</summary>\n\n**Kind:** graph. two dots")
+    assert md["a"].endswith("</details>\n\n*Fig. 1*\n") and "2 vertices, 1 edges" in md["a"]
+    assert images.read_png((docs["a"] / "figures" / "p0001_b02.png").read_bytes()).shape[2] == 3
     assert md["b"] == "<!-- page 1 -->\n\nit goes on in lower case\n\n$$\nx_{1}\n$$\n"
     assert md["c"] == "<!-- page 1: OCR failed, see report.json -->\n"
     report = json.loads((docs["b"] / "report.json").read_text())
@@ -76,7 +82,7 @@ def test_all_stages(spark, tmp_path, inputs, capsys):
     assert told[-4:] == ["3/3 documents assembled", "0", "1", "3"]
 
     def never(request):
-        raise AssertionError("nothing is left to do")
+        raise AssertionError(f"nothing is left to do: {request[-80:]}")
 
     assert cli.main(["all", "--inputs", inputs, "--out", out, "--work", work], spark, never, never) == stages.DONE
     assert say("read", "--force") == stages.DONE and w.to_review().count() == 3  # a new reading takes its review back
@@ -99,7 +105,7 @@ def test_a_server_that_is_down_and_a_stop(spark, tmp_path, inputs):
     assert stages.run(w, [(lambda: w.read(read, "layout-json", pause=0.0), {})]) == stages.DONE
     assert stages.run(w, [(lambda: w.review(down, pause=0.0, limit=1), {})]) == stages.FAILED
     left = {r["doc_id"][0] for r in w.to_review().collect()}
-    assert left == {"b"}  # pages without a wanted block are reviewed
+    assert left == {"a", "b"}  # a figure and a formula wait; the page without either is reviewed
 
 
 def test_turned_pages_are_read_again(spark, tmp_path):
