@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions import flags as V
 from leafmill.functions import text as X
+from leafmill.operators import assembly as A
 from leafmill.operators import blocks as B
 from leafmill.operators import figures as D
 from leafmill.operators import graphs as G
@@ -430,6 +431,42 @@ def val20_needed(rows):
     return rows.join(need.select("p_partkey", F.lit("1").alias("n")), "p_partkey", "left").select("p_partkey", F.coalesce("n", F.lit("0")).alias("out"))
 
 
+P1, P2 = "<!-- page 1 -->\n\n", "\n\n<!-- page 2 -->"
+
+
+@told(
+    [
+        ("it goes", "on {w}", f"{P1}it goes on {{w}}\n\nF{P2}\n"),
+        ("Ends.", "next {w}", f"{P1}Ends.\n\nF{P2}\n\nnext {{w}}\n"),
+        ("it goes", "On {w}", f"{P1}it goes\n\nF{P2}\n\nOn {{w}}\n"),
+        ("the inter-", "national {w}", f"{P1}the international {{w}}\n\nF{P2}\n"),
+        ("a self-", "made {w}", f"{P1}a self-made {{w}}\n\nF{P2}\n"),
+        ("they co-", "operate, co-operate {w}", f"{P1}they co-operate, co-operate {{w}}\n\nF{P2}\n"),
+        ("a self-", "made or selfmade {w}", f"{P1}a selfmade or selfmade {{w}}\n\nF{P2}\n"),
+        ("{w}", "", f"{P1}{{w}}\n\nF{P2}\n"),
+    ]
+)
+def asm04_joins(rows):
+    """ASM-02 to ASM-05: a paragraph over a page break, with a figure between its halves."""
+    piece = lambda page, no, kind, text: F.struct(F.lit(page).alias("page"), F.lit(no).alias("block_no"), F.lit(kind).alias("type"), text.alias("content"))
+    parts = F.array(piece(0, 0, "text", F.col("a")), piece(0, 1, "figure", F.lit("F")), piece(0, 2, "header", F.lit("head")), piece(1, 0, "text", F.col("b")))
+    out = A.assemble(rows.select(F.col("p_partkey").alias("doc_id"), F.inline(parts)))
+    return out.select(F.col("doc_id").alias("p_partkey"), F.col("markdown").alias("out"))
+
+
+@told(
+    [
+        ("", "f.png", None, None, "{w}", "![figure](f.png)\n\n<details><summary>Figure description (generated)</summary>\n\n{w}\n\n</details>"),
+        ("in it", "f.png", "A {w}", None, None, "![A {w}](f.png)\n\nin it"),
+        ("", "f.png", "a", "graph", "x\n**Graph — TikZ:** {w}", "![a](f.png)\n\n<details><summary>Figure description (generated) — graph as Markdown and as TikZ</summary>\n\nx\n**Graph — TikZ:** {w}\n\n</details>"),
+        ("{w}", None, None, None, None, "{w}"),
+    ]
+)
+def asm01_figures(rows):
+    """ASM-01: figures with and without picture, description and text."""
+    return rows.select("p_partkey", A.figure_rendered(*map(F.col, "abcde")).alias("out"))
+
+
 # ------------------------------------------------------------------ pages that failed, calls
 
 
