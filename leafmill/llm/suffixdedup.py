@@ -10,8 +10,8 @@ bytes that its starts' strings cover, with its bounds (`ctx`).
 The family: each batch of documents becomes a run of suffixes in the order of their
 bytes, equal ones counted before the shuffle. A new run is merge-scanned (a sort-merge
 join) against every level for suffixes that begin with the same K bytes, and levels of
-equal rank merge into one of the next, so each entry is rewritten a logarithmic number
-of times. What merged is deleted.
+equal rank merge into one of the next (all that merge after a batch in one step), so each
+entry is rewritten a logarithmic number of times. What merged is deleted.
 
 Segments whose (head, ctx) repeats are wholly repeated. Segments whose head repeats
 but whose bytes differ somewhere (those at the ends of repeats) are settled by two
@@ -45,6 +45,8 @@ PIECE, PLACE = 1 << 18, 20
 BATCHES = 4
 #: Classes of one gram that one task settles together (about 5 MB of text).
 GROUP = 16_384
+#: Classes whose strings are hashed at once; of each string only its place and hashes are held then.
+HASHED = 512
 #: Bits of the filter that tells which segments travel on; fixed, 2 MB.
 BITS = 1 << 24
 U = np.uint64
@@ -171,13 +173,18 @@ class SuffixFamily:
         before, self.matches = self.matches, C.cut(new.distinct())
         if before is not None:
             C.drop(before)
-        rank = 0
+        # Levels whose merging would make the next one merge too are merged at once.
+        rank, runs = 0, [run]
         while self.levels and self.levels[-1][0] == rank:
-            _, other = self.levels.pop()
-            merged = self._run(run.unionByName(other))
-            C.drop(run)
-            C.drop(other)
-            run, rank = merged, rank + 1
+            runs.append(self.levels.pop()[1])
+            rank += 1
+        if rank:
+            every = runs[0]
+            for x in runs[1:]:
+                every = every.unionByName(x)
+            run = self._run(every)
+            for x in runs:
+                C.drop(x)
         self.levels.append((rank, run))
 
     def repeated(self) -> DataFrame:
@@ -242,27 +249,37 @@ def _settle(length: int):
     0: starts at..to are repeated; kind 1: a string of hashes h, g of a gram in several parts, whose
     class (ctx) waits to hear if it meets an equal one; kind 2: the same, but known to repeat."""
 
-    def block(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        fp, part, parts, ctx, n = (np.array([r[i] for r in rows], np.int64) for i in range(5))
-        ends = np.cumsum([len(r[5]) for r in rows])
-        data = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
-        sums, inverse = byte_sums(data)
+    def hashed(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Row, start and two hashes of every string of these bodies."""
+        data = np.frombuffer(b"".join(bodies), np.uint8)
+        ends = np.cumsum([len(x) for x in bodies])
         m = len(data) - length + 1
-        h = W.mix((sums[length:] - sums[:-length]) * inverse[:m])
-        sums, _ = byte_sums(data, True)
-        g = W.mix((sums[length:] - sums[:-length]) * inverse[:m])
+        row = np.repeat(np.arange(len(bodies), dtype=np.int32), np.diff(ends, prepend=0))[:m]
+        at = np.flatnonzero(np.arange(m) + length <= ends[row])
+        row = row[at]
+        out = []
+        for other in (False, True):
+            sums, inverse = byte_sums(data, other)
+            out.append(W.mix((sums[at + length] - sums[at]) * inverse[at]))
         begins = np.concatenate([[0], ends[:-1]])
-        row = np.repeat(np.arange(len(rows)), np.diff(ends, prepend=0))[:m]
-        valid = np.arange(m) + length <= ends[row]
-        at, row, h, g = np.flatnonzero(valid), row[valid], h[valid], g[valid]
-        own = h ^ W.mix(fp[row].view(np.uint64) + U(1))
-        meet = own ^ W.mix(part[row].astype(np.uint64) + U(7))
+        return row, (at - begins[row]).astype(np.int32), out[0], out[1]
+
+    def block(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        fp, part, parts, ctx, n = (np.array([r[i] for r in rows], np.int64) for i in range(5))
+        found = [hashed([r[5] for r in rows[i : i + HASHED]]) for i in range(0, len(rows), HASHED)]
+        row = np.concatenate([x[0] + np.int32(i * HASHED) for i, x in enumerate(found)])
+        start, own, g = (np.concatenate([x[i] for x in found]) for i in (1, 2, 3))
+        del found
+        own ^= W.mix(fp.view(np.uint64) + U(1))[row]
+        meet = own ^ W.mix(part.astype(np.uint64) + U(7))[row]
         order = np.lexsort((g, meet))
         same = np.zeros(len(order) + 1, bool)
-        same[1:-1] = (meet[order][1:] == meet[order][:-1]) & (g[order][1:] == g[order][:-1])
+        same[1:-1] = meet[order][1:] == meet[order][:-1]
+        same[1:-1] &= g[order][1:] == g[order][:-1]
+        del meet
         many = n[row] > 1
         many[order] |= same[1:] | same[:-1]
-        start = at - begins[row]
+        del order
         new = many.copy()
         new[1:] &= ~many[:-1] | (row[1:] != row[:-1])
         stop = many.copy()

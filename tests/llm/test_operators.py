@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -145,6 +147,40 @@ def test_family_levels_merge(spark):
         assert [rank for rank, _ in family.levels] == {0: [0], 1: [1], 2: [1, 0], 3: [2]}[i]
 
 
+def test_family_levels_merge_in_one_step(spark, monkeypatch):
+    """Runs and matches of four batches are eight tables; two merges make one each, and nothing else is left."""
+    made, real = [], suffixdedup.C.cut
+    monkeypatch.setattr(suffixdedup.C, "cut", lambda df: made.append(real(df)) or made[-1])
+    family = suffixdedup.SuffixFamily()
+    rng = random.Random(2)
+    texts = [words(rng, 200) for _ in range(3)]
+    for t in (*texts, texts[0]):
+        family.add(spark.createDataFrame([(t.encode(),)], "text binary"))
+    assert len(made) == 10
+    assert [os.path.exists(x._cut_at.removeprefix("file:")) for x in made].count(True) == 2
+    entries = family.repeated().collect()
+    assert entries and {r["n"] for r in entries} == {2}
+
+
+@pytest.mark.parametrize("parts", [1, 2])
+def test_many_classes_settle_in_little_memory(parts):
+    """4,096 classes of one gram; each 64th holds the same 210 bytes between bytes of its own."""
+    rng = np.random.default_rng(8)
+    bodies = [rng.integers(97, 123, 290, dtype=np.uint8).tobytes() for _ in range(4096)]
+    k, shared, common = len(bodies), range(0, len(bodies), 64), bytes(range(210))
+    for i in shared:
+        own = bytes([128 + i // 64])
+        bodies[i] = bodies[i][:59] + own + common + own + bodies[i][271:]
+    table = pa.table({"fp": [5] * k, "part": [0] * k, "parts": [parts] * k, "ctx": range(k), "n": [1] * k, "body": pa.array(bodies, pa.binary())})
+    tracemalloc.start()
+    out = [r for b in suffixdedup._settle(200)(iter(table.to_batches())) for r in zip(*(b.column(c).to_pylist() for c in ("kind", "ctx", "at", "to")), strict=True)]
+    peak = tracemalloc.get_traced_memory()[1] if parts == 1 else 0
+    tracemalloc.stop()
+    assert sorted(r[1:] for r in out if r[0] == 0) == [(i, 60, 70) for i in shared]
+    assert sum(r[0] == 1 for r in out) == (parts - 1) * (91 * k - 11 * len(shared)) and sum(r[0] == 2 for r in out) == (parts - 1) * 11
+    assert peak < 35 * sum(map(len, bodies))
+
+
 def test_near_duplicates(spark, docs, corpus, none):
     want = brute.near_duplicates(corpus)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["doc_id"] == r["component_id"]) for r in minhash.near_duplicates(docs).collect()}
