@@ -401,6 +401,18 @@ def test_language(spark, none):
     assert got[903] == got[906]
 
 
+def test_scores_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(6)
+    k = langid.FILTERS * len(langid.WIDTHS)
+    draw = lambda scale, *shape: rng.normal(0, scale, shape).astype(np.float32)
+    net = langid.Network(["aa", "bb", "cc"], draw(0.5, 256, langid.EMBED), draw(0.3, langid.SPAN * langid.EMBED, k), draw(0.1, k), draw(0.2, k, 3), draw(0.1, 3))
+    rows = rng.integers(97, 123, (130, langid.WINDOW + langid.SPAN - 1)).astype(np.uint8)
+    alone = np.concatenate([net.probabilities(rows[i : i + 1]) for i in range(len(rows))])
+    for n in (2, 3, 17, 64, 65, 130):
+        assert np.array_equal(net.probabilities(rows[:n]), alone[:n])
+        assert np.array_equal(net.probabilities(rows[-n:]), alone[-n:])
+
+
 def plain_hits(lexicon, text):
     """Whole words of the lexicon, none inside an exception phrase, by regular expressions."""
     import re
