@@ -19,5 +19,6 @@ def homes(names: Sequence[tuple[Hashable | None, Hashable | None]], often: int =
         known = [first[k] for k in (box, text if text in looping else None) if k is not None and k in first]
         out.append(known[0] if known else i)
         if not known:
-            first = {box: i, text: i} | first
+            first.setdefault(box, i)
+            first.setdefault(text, i)
     return out
