@@ -20,7 +20,7 @@ from leafmill.operators import reports as R
 from leafmill.operators import review as V2
 from leafmill.operators import tikz as Z
 from leafmill.schema import JSON_LABELS
-from leafmill.session import ship, spread
+from leafmill.session import dealt, ship, spread
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -464,7 +464,7 @@ def tik01_graphs(spark, d):
     v = (F.pmod("o_custkey", F.lit(7)) + 1).cast("string")
     node = lambda n: F.concat(F.lit("\\node ("), n, F.lit(") at (0,0) {};"))
     code = F.concat(node(u), F.when(F.pmod("o_orderkey", F.lit(3)) == 0, "").otherwise(node(v)), F.lit("\\draw[->] ("), u, F.lit(") -- ("), v, F.lit(");"))
-    g = table(spark, d, "orders").select(F.col("o_orderkey").alias("graph"), Z.graph(code).alias("g"))
+    g = dealt(table(spark, d, "orders").select("o_orderkey", "o_custkey")).select(F.col("o_orderkey").alias("graph"), Z.graph(code).alias("g"))
     return g.select("graph", F.array_join(G.edge_set(F.col("g.nodes"), F.col("g.edges")), ",").alias("edges"), F.array_join("g.flags", ",").alias("flags"))
 
 
@@ -492,5 +492,5 @@ def rev01_wanted(spark, d):
 def rev10_gate(spark, d):
     """Each turn of a conversation against itself with its last vowels doubled. The measure is
     quadratic in a block's length, and turns, unlike documents, are of a block's length."""
-    b = spread(table(spark, d, "conversations").select("conv_id", "turn", "text")).select("conv_id", "turn", F.lit("text").alias("type"), F.col("text").alias("content"), F.array().cast("array<string>").alias("flags"), F.regexp_replace("text", "([aeiou]) ", "$1$1 ").alias("proposal"))
+    b = dealt(table(spark, d, "conversations").select("conv_id", "turn", "text")).select("conv_id", "turn", F.lit("text").alias("type"), F.col("text").alias("content"), F.array().cast("array<string>").alias("flags"), F.regexp_replace("text", "([aeiou]) ", "$1$1 ").alias("proposal"))
     return V2.gated(b).select("conv_id", "turn", "ok", "why")

@@ -24,6 +24,13 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """df dealt out to all cores, whatever its splits: for narrow rows before work that costs far more
+    than their shuffle. A file's splits may be as many as the cores and its rows all in one of them
+    (one row group), which the number of splits does not tell."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """df computed once, for plans that read it more than once and must get the same rows: what a
     model said, what range a row fell in. Written under the session's checkpoint folder, which
