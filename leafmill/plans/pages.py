@@ -13,6 +13,7 @@ from leafmill.operators import review as V2
 from leafmill.operators import tikz as Z
 from leafmill.plans.queries import LINES, lines, query, table
 from leafmill.schema import known_type
+from leafmill.session import dealt
 from leafmill.sources import files, models
 
 
@@ -178,7 +179,7 @@ def rev08_dropped_escapes(spark, d):
     k, n = F.col("p_size"), F.col("p_name")
     draft = F.concat(pick(k, r"\* ", r"a\_b &lt;b ", r"\* $\_$ ", r"\# "), n)
     proposal = F.concat(pick(k, "* ", "a_b <b ", r"\* $_$ ", "# "), n)
-    return table(spark, d, "part").select("p_partkey", F.array_join(V2.dropped_escapes(draft, proposal), " ").alias("lost"))
+    return dealt(table(spark, d, "part").select("p_partkey", "p_size", "p_name")).select("p_partkey", F.array_join(V2.dropped_escapes(draft, proposal), " ").alias("lost"))
 
 
 @query("SELECT p_partkey, p_size % 6 < 4 AS placeholder FROM part")
@@ -218,7 +219,7 @@ SELECT o_orderkey AS graph, '2 vertices, 1 edges (directed)' || chr(10) || chr(1
 """)
 def tik11_graph_markdown(spark, d):
     code = F.concat(F.lit(r"\node (u) at (0,0) {a"), "o_custkey", F.lit(r"}; \node (v) at (1,0) {b}; \draw[->] (u) -- (v);"))
-    g = table(spark, d, "orders").select(F.col("o_orderkey").alias("graph"), Z.graph(code).alias("g"))
+    g = dealt(table(spark, d, "orders").select("o_orderkey", "o_custkey")).select(F.col("o_orderkey").alias("graph"), Z.graph(code).alias("g"))
     return g.select("graph", G.graph_markdown(F.col("g.nodes"), F.col("g.edges")).alias("markdown"))
 
 
